@@ -1,0 +1,2 @@
+"""No streaming operators: the work is batch, the whole history is read on
+every run and every load replaces its table. Nothing is built here on purpose."""
