@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywell import schema as S
@@ -143,24 +143,45 @@ def no_long_gaps(daily: DataFrame, longest: int = 10, by: Sequence[str] = ()) ->
 
 @dataclass(frozen=True)
 class Check:
-    """A named data test and what its failure means."""
+    """A named data test and what its failure means.
+
+    A row-local test gives its frame and predicate instead of a query, so that
+    all such tests of one frame share a single pass.
+    """
 
     name: str
-    violations: Callable[[], DataFrame]
+    violations: Callable[[], DataFrame] | None = None
     severity: str = "error"
+    frame: DataFrame | None = None
+    predicate: Column | None = None
+
+
+def _count_row_tests(checks: Sequence[Check]) -> dict[str, int]:
+    by_frame: dict[int, list[Check]] = {}
+    for check in checks:
+        if check.frame is not None:
+            by_frame.setdefault(id(check.frame), []).append(check)
+    counts: dict[str, int] = {}
+    for group in by_frame.values():
+        counters = [F.count_if(c.predicate).alias(c.name) for c in group]
+        counts |= group[0].frame.agg(*counters).first().asDict()
+    return counts
 
 
 def run_checks(checks: Sequence[Check], path: str | None = None) -> list[dict]:
-    """Run every test once; keep its violating rows under ``path/<name>`` (SK11)."""
+    """Run every test and keep the violating rows under ``path/<name>`` (SK11)."""
+    counts = _count_row_tests(checks)
     results = []
     for check in checks:
-        found = check.violations()
-        if path is None:
-            kept = materialize(found, check.name)
-        else:
-            found.write.mode("overwrite").parquet(f"{path}/{check.name}")
-            kept = found.sparkSession.read.schema(found.schema).parquet(f"{path}/{check.name}")
-        rows = kept.count()
+        rows = counts.get(check.name)
+        if rows != 0:
+            found = check.violations() if check.violations else check.frame.where(check.predicate)
+            if path is None:
+                kept = materialize(found, check.name)
+            else:
+                found.write.mode("overwrite").parquet(f"{path}/{check.name}")
+                kept = found.sparkSession.read.schema(found.schema).parquet(f"{path}/{check.name}")
+            rows = kept.count()
         status = "pass" if rows == 0 else ("warn" if check.severity == "warn" else "fail")
         results.append({"check": check.name, "violations": rows, "status": status})
     return results
@@ -191,7 +212,7 @@ def published_checks(enriched: DataFrame, published: dict[str, DataFrame]) -> li
     }
     frames = {"enriched": enriched, **published}
     checks = [
-        Check(f"not_null_{t}_{c}", lambda t=t, c=c: check_not_null(frames[t], c))
+        Check(f"not_null_{t}_{c}", frame=frames[t], predicate=F.col(c).isNull())
         for t, columns in not_null.items()
         for c in columns
     ]
@@ -201,7 +222,7 @@ def published_checks(enriched: DataFrame, published: dict[str, DataFrame]) -> li
         for k in key_sets
     ]
     checks += [
-        Check(f"accepted_{t}_{c}", lambda t=t, c=c, v=v: check_accepted_values(frames[t], c, v))
+        Check(f"accepted_{t}_{c}", frame=frames[t], predicate=~F.col(c).isin(*v))
         for (t, c), v in accepted.items()
     ]
     by_product, by_day = published["product_date_revenue"], published["daily_summary"]

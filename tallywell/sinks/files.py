@@ -40,9 +40,16 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """SK3: UTF-8 CSV with header; a folder of part files."""
+    """SK3: UTF-8 CSV with header, blanks kept; a folder of part files."""
+    options = {
+        "header": True,
+        "encoding": "UTF-8",
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
     try:
-        df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").option("escape", '"').csv(path)
+        df.write.mode("overwrite").options(**options).csv(path)
     except Exception as error:
         raise PersistError(f"could not write CSV to {path}: {error}") from error
     return path

@@ -45,7 +45,8 @@ def read_csv_raw(
     """SRC1/SRC2: every column as text under its source header.
 
     Files are split across tasks; ``multi_line`` allows line breaks in quoted
-    fields at the price of one task per file.
+    fields at the price of one task per file. The parser sees whole lines even
+    when a query needs few columns: a pruned line has no wrong number of fields.
     """
     options = {
         "header": True,
@@ -53,6 +54,7 @@ def read_csv_raw(
         "encoding": "UTF-8",
         "multiLine": multi_line,
         "escape": '"',
+        "columnPruning": False,
     }
     headers = spark.read.options(**options).csv(paths).columns
     columns = [T.StructField(h, T.StringType()) for h in headers]

@@ -67,15 +67,36 @@ def sales_lines(
         ),
         "ordinal": F.struct(*order),
     }
-    return lines.select(*[expressions[c].alias(c) for c in columns])
+    return lines.select(*[expressions.get(c, F.col(c)).alias(c) for c in columns])
 
 
-def resent_lines(spark: SparkSession, folder: str) -> DataFrame:
+def resent_lines(spark: SparkSession, folder: str, extra: Sequence[str] = ()) -> DataFrame:
     """Invoice lines as received when the lines of open items were sent twice.
 
     The second copy comes later in the order of the input.
     """
-    return sales_lines(spark, folder, (*SALES_COLUMNS, "ordinal"), resent=True)
+    return sales_lines(spark, folder, (*SALES_COLUMNS, "ordinal", *extra), resent=True)
+
+
+def defective_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Invoice lines as received, four years later, with defects of every kind.
+
+    Untaxed lines lose one value each, chosen by their discount.
+    """
+    marks = ("l_tax", "l_discount")
+    lines = resent_lines(spark, folder, marks)
+    defect = F.when(F.col("l_tax") == 0, F.col("l_discount"))
+    late = F.col("event_ts") + F.expr("INTERVAL 4 YEARS")
+    return lines.withColumns(
+        {
+            "product_id": F.when(defect == 0.01, F.lit("   ")).when(
+                defect.isNull() | (defect != 0), F.col("product_id")
+            ),
+            "event_ts": F.when(defect.isNull() | (defect != 0.02), late),
+            "quantity": F.when(defect.isNull() | (defect != 0.03), F.col("quantity")),
+            "unit_price": F.when(defect.isNull() | (defect != 0.04), F.col("unit_price")),
+        }
+    ).drop(*marks)
 
 
 def valid_lines(spark: SparkSession, folder: str, columns: Sequence[str] = SALES_COLUMNS) -> DataFrame:
@@ -95,6 +116,7 @@ def metric_samples(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("event_type").alias("metric"),
         F.get_json_object("props", "$.k").alias("job"),
+        F.col("user_id").cast("string").alias("instance"),
         F.col("ts"),
         F.col("value").cast("decimal(18,4)").alias("value"),
         F.col("event_id").alias("sample_id"),
