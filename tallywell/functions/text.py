@@ -13,6 +13,7 @@ BLANKS = (
 )
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_WHOLE = r"^([+-]?[0-9]+)(\.0*)?$"
 # Date layouts tried in turn after the ISO one; month first wins when both fit.
 _DATE_REWRITES = (
     (r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4})", "$3-$1-$2"),
@@ -38,12 +39,16 @@ def _number_text(col: Column) -> Column:
 
 
 def parse_whole_number(col: Column, type_name: str) -> Column:
-    """A whole number or null; ``17850.0`` is whole, ``2.5`` and ``two`` are not."""
-    text = _number_text(col)
-    number = text.try_cast("double")
-    return F.coalesce(
-        text.try_cast(type_name),
-        F.when(number == F.floor(number), number.try_cast(type_name)),
+    """A whole number or null; ``17850.0`` is whole, ``2.5`` and ``two`` are not.
+
+    Casts are tried only on text of the right form: one that fails costs an
+    exception per row.
+    """
+    text = strip(col.cast("string"))
+    digits = F.regexp_extract(text, _WHOLE, 1)
+    scientific = F.when(text.rlike(_NUMBER), text).try_cast("double")
+    return F.when(digits != "", digits.try_cast(type_name)).when(
+        scientific == F.floor(scientific), scientific.try_cast(type_name)
     )
 
 

@@ -33,30 +33,37 @@ def flag_duplicates(
 
     ``order_by`` is a column that orders the rows of one key (it may be a struct).
 
-    Only the keys are shuffled, and counted before the shuffle, so a third of all
-    rows being copies of one line is one row per task. The keys that do repeat
-    are written out. A short list is broadcast and the detail is never shuffled.
-    A long list is joined by key, with the hot keys resolved by a broadcast
-    whose size ``hot_copies`` bounds, and their rows spread over many tasks.
+    A first pass counts the keys, before and after the shuffle, so a third of all
+    rows being copies of one line is one row per task. It writes out the keys
+    that repeat, usually few. A short list is broadcast and the detail is never
+    shuffled. A long list is joined by key, with the hot keys resolved by a
+    broadcast whose size ``hot_copies`` bounds, and their rows spread over many
+    tasks.
     """
-    groups = (
-        df.groupBy(*[F.col(k).alias(f"k_{k}") for k in keys])
-        .agg(F.count("*").alias("copies"), F.min(order_by).alias("first_copy"))
-        .where(F.col("copies") > 1)
-    )
-    groups = materialize(groups, "repeated_keys")
-    size = groups.agg(
+    named_keys = [F.col(k).alias(f"k_{k}") for k in keys]
+    repeated = df.groupBy(*named_keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+    repeated = materialize(repeated, "repeated_keys")
+    size = repeated.agg(
         F.count("*").alias("keys"), F.count_if(F.col("copies") > hot_copies).alias("hot")
     ).first()
     if size["keys"] == 0:
         return df.withColumn(flag, F.lit(False))
 
-    helper_columns = [f"k_{k}" for k in keys] + ["copies", "first_copy"]
+    helper_columns = [f"k_{k}" for k in keys] + ["first_copy"]
     later_copy = F.coalesce(F.col(order_by) > F.col("first_copy"), F.lit(False))
     if size["keys"] <= broadcast_keys:
-        joined = df.join(F.broadcast(groups), _same_keys(df, groups, keys), "left")
+        copies = df.join(F.broadcast(repeated), _same_keys(df, repeated, keys), "left_semi")
+        firsts = copies.groupBy(*named_keys).agg(F.min(order_by).alias("first_copy"))
+        joined = df.join(F.broadcast(firsts), _same_keys(df, firsts, keys), "left")
         return joined.withColumn(flag, later_copy).drop(*helper_columns)
 
+    groups = (
+        df.groupBy(*named_keys)
+        .agg(F.count("*").alias("copies"), F.min(order_by).alias("first_copy"))
+        .where(F.col("copies") > 1)
+    )
+    groups = materialize(groups, "first_copies")
+    helper_columns.append("copies")
     hot = groups.where(F.col("copies") > hot_copies)
     usual = groups.where(F.col("copies") <= hot_copies).withColumn("k_spread", F.lit(0))
     if size["hot"] <= broadcast_keys:

@@ -277,10 +277,10 @@ def metric_row(metric: str, value: float, **labels: str) -> dict:
     return {"metric": metric, "labels": labels, "value": float(value)}
 
 
-def run_metrics(stats: dict, rules: Sequence[str], stages: dict[str, tuple[int | None, float]], kpis: dict, success: bool, now: datetime) -> list[dict]:
+def run_metrics(stats: dict, rules: Sequence[str], stages: dict[str, tuple[int | None, float | None]], kpis: dict, success: bool, now: datetime) -> list[dict]:
     """MN4: the metric rows of one run, a few dozen figures."""
     rows = [metric_row(M_ROWS, n, etapa=stage) for stage, (n, _) in stages.items() if n is not None]
-    rows += [metric_row(M_SECONDS, seconds, etapa=stage) for stage, (_, seconds) in stages.items()]
+    rows += [metric_row(M_SECONDS, seconds, etapa=stage) for stage, (_, seconds) in stages.items() if seconds is not None]
     rows += [metric_row(M_REJECTED, stats[rule], regla=rule) for rule in rules]
     rows += [
         metric_row(M_REVENUE, kpis["total_revenue"]),

@@ -1,6 +1,7 @@
 """The daily job: read, check, transform, verify, publish, report."""
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -30,7 +31,7 @@ EXIT_OK, EXIT_DATA_PROBLEM, EXIT_UNEXPECTED = 0, 1, 2
 class _Stages:
     """Rows and seconds of each stage of a run."""
 
-    figures: dict[str, tuple[int | None, float]] = field(default_factory=dict)
+    figures: dict[str, tuple[int | None, float | None]] = field(default_factory=dict)
 
     @contextmanager
     def timed(self, name: str) -> Iterator[None]:
@@ -38,10 +39,10 @@ class _Stages:
         try:
             yield
         finally:
-            self.figures[name] = (self.figures.get(name, (None, 0.0))[0], time.monotonic() - start)
+            self.figures[name] = (self.figures.get(name, (None, None))[0], time.monotonic() - start)
 
     def rows(self, name: str, count: int) -> None:
-        self.figures[name] = (count, self.figures.get(name, (None, 0.0))[1])
+        self.figures[name] = (count, self.figures.get(name, (None, None))[1])
 
 
 def classify(typed: DataFrame, limits: Q.Limits, order_by: str) -> tuple[DataFrame, dict]:
@@ -74,28 +75,31 @@ def run(
 
     Text is parsed once; each later stage starts from written columns. Rejected
     rows are kept as evidence before the gate decides. Nothing reaches the
-    destination of the results before the aggregate has been verified.
+    destination of the results before the aggregate has been verified. Jobs that
+    do not depend on each other are submitted together.
     """
     started = datetime.now(UTC)
     run_id = run_id or started.strftime("%Y%m%d-%H%M%S")
     stages = _Stages()
     report: dict = {"run_id": run_id, "version": __version__, "input": source, "started": started.isoformat()}
+    report["quarantine"] = None
     rules = Q.build_rules(limits, "ordinal")
 
     with stages.timed("ingesta"):
         typed = read_sales(spark, source, file_format, max_rows, with_ordinal=True)
         typed = materialize(typed, "typed")
-        profile = profile_input(typed.drop("ordinal")).first().asDict()
-    report["ingest"] = profile
-    stages.rows("ingesta", profile["total_rows"])
 
-    with stages.timed("validacion"):
+    with stages.timed("validacion"), ThreadPoolExecutor() as jobs:
+        profile = jobs.submit(lambda: profile_input(typed.drop("ordinal")).first().asDict())
         classified, stats = classify(typed, limits, "ordinal")
-        rejected = classified.where("is_rejected").drop("is_rejected")
-        report["quarantine"] = out.write_quarantine(rejected, f"{destination}/quarantine", run_id)
+        if stats["rejected_rows"]:
+            rejected = classified.where("is_rejected").drop("is_rejected")
+            report["quarantine"] = out.write_csv(rejected, f"{destination}/quarantine/run_id={run_id}")
         report["validation"] = stats
-        Q.quality_gate(stats, rules, limits.max_reject_pct)
+        report["ingest"] = profile.result()
+    stages.rows("ingesta", stats["input_rows"])
     stages.rows("validacion", stats["valid_rows"])
+    Q.quality_gate(stats, rules, limits.max_reject_pct)
 
     valid = classified.where(~F.col("is_rejected")).drop("is_rejected", "reject_reason")
     detail = valid.transform(add_line_revenue).transform(add_calendar)
@@ -111,14 +115,16 @@ def run(
     stages.rows("agregacion", verified["aggregate_rows"])
 
     in_order = aggregate.orderBy("sale_date", F.desc("total_revenue"), "product_id")
-    with stages.timed("persistencia"):
-        report["outputs"] = {
-            "sales_detail": out.write_parquet(detail, f"{destination}/sales_detail", ["year", "month"]),
-            "product_date_revenue": out.write_parquet(in_order, f"{destination}/product_date_revenue"),
-            "product_date_revenue_csv": out.write_csv(in_order, f"{destination}/product_date_revenue_csv"),
-            "daily_summary": out.write_small_parquet(summary, f"{destination}/daily_summary"),
-            "product_ranking_csv": out.write_csv(ranking, f"{destination}/product_ranking_csv"),
-        }
+    writes = {
+        "sales_detail": lambda path: out.write_parquet(detail, path, ["year", "month"]),
+        "product_date_revenue": lambda path: out.write_parquet(in_order, path),
+        "product_date_revenue_csv": lambda path: out.write_csv(in_order, path),
+        "daily_summary": lambda path: out.write_small_parquet(summary, path),
+        "product_ranking_csv": lambda path: out.write_csv(ranking, path),
+    }
+    with stages.timed("persistencia"), ThreadPoolExecutor() as jobs:
+        written = {name: jobs.submit(write, f"{destination}/{name}") for name, write in writes.items()}
+        report["outputs"] = {name: job.result() for name, job in written.items()}
 
     report["loaded"] = {}
     if load_warehouse:

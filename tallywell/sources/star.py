@@ -46,6 +46,7 @@ def sales_lines(
             homes = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             orders = orders.join(homes, F.col("o_custkey") == F.col("c_custkey"), "left")
         lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    part_number = F.col("l_partkey").cast("string")
     units = F.col("l_quantity").cast("int")
     text = F.when(F.col("l_linestatus") == "F", F.col("p_name")).otherwise(
         F.concat_ws(" ", "p_name", "p_type")
@@ -54,8 +55,8 @@ def sales_lines(
     expressions = {
         "invoice_id": F.col("l_orderkey").cast("string"),
         "product_id": F.when(
-            F.col("l_partkey") % 50 == 0, F.concat(F.lit("M"), F.col("l_partkey").cast("string"))
-        ).otherwise(F.format_string("%05d", F.col("l_partkey"))),
+            F.col("l_partkey") % 50 == 0, F.concat(F.lit("M"), part_number)
+        ).otherwise(F.lpad(part_number, F.greatest(F.lit(5), F.length(part_number)), "0")),
         "description": F.upper(F.when(F.col("l_tax") > 0, text)),
         "quantity": F.when(F.col("l_returnflag") == "R", -units).otherwise(units),
         "event_ts": moment,
