@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from tallywell.session import materialize
 
-# A repeated key is sent to every executor only while the list of such keys
-# is this short; each key is one narrow row.
+# Repeated keys are sent to every executor only while their list is this short
+# and their text this small.
 BROADCAST_KEYS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more copies than this is hot: at most rows / HOT_COPIES keys are.
 HOT_COPIES = 1_000_000
 SPREAD = 512
@@ -43,15 +44,20 @@ def flag_duplicates(
     named_keys = [F.col(k).alias(f"k_{k}") for k in keys]
     repeated = df.groupBy(*named_keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
     repeated = materialize(repeated, "repeated_keys")
+    text = F.octet_length(F.concat_ws("", *[F.col(f"k_{k}").cast("string") for k in keys]))
+    is_hot = F.col("copies") > hot_copies
     size = repeated.agg(
-        F.count("*").alias("keys"), F.count_if(F.col("copies") > hot_copies).alias("hot")
+        F.count("*").alias("keys"),
+        F.sum(text).alias("bytes"),
+        F.count_if(is_hot).alias("hot"),
+        F.sum(F.when(is_hot, text)).alias("hot_bytes"),
     ).first()
     if size["keys"] == 0:
         return df.withColumn(flag, F.lit(False))
 
     helper_columns = [f"k_{k}" for k in keys] + ["first_copy"]
     later_copy = F.coalesce(F.col(order_by) > F.col("first_copy"), F.lit(False))
-    if size["keys"] <= broadcast_keys:
+    if size["keys"] <= broadcast_keys and size["bytes"] <= BROADCAST_BYTES:
         copies = df.join(F.broadcast(repeated), _same_keys(df, repeated, keys), "left_semi")
         firsts = copies.groupBy(*named_keys).agg(F.min(order_by).alias("first_copy"))
         joined = df.join(F.broadcast(firsts), _same_keys(df, firsts, keys), "left")
@@ -64,9 +70,9 @@ def flag_duplicates(
     )
     groups = materialize(groups, "first_copies")
     helper_columns.append("copies")
-    hot = groups.where(F.col("copies") > hot_copies)
-    usual = groups.where(F.col("copies") <= hot_copies).withColumn("k_spread", F.lit(0))
-    if size["hot"] <= broadcast_keys:
+    hot = groups.where(is_hot)
+    usual = groups.where(~is_hot).withColumn("k_spread", F.lit(0))
+    if size["hot"] <= broadcast_keys and (size["hot_bytes"] or 0) <= BROADCAST_BYTES:
         hot = F.broadcast(hot)
     first_pass = (
         df.join(hot, _same_keys(df, hot, keys), "left")

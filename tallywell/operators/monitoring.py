@@ -15,6 +15,7 @@ from tallywell import schema as S
 from tallywell.functions import numbers as N
 from tallywell.operators import series as T
 from tallywell.operators.checks import reconcile_totals
+from tallywell.session import materialize
 
 HOUR = 3600 * T.MICROS
 DAY = 24 * HOUR
@@ -160,7 +161,8 @@ def counter_increase(samples: DataFrame, by: Sequence[str], window: int = HOUR)
 
     A fall means the counter restarted, so the new value is the growth. Growth
     between two samples counts while both lie in the window; nothing is
-    extrapolated.
+    extrapolated. The growths are written out, as the running total reads them
+    twice.
     """
     timed = samples.select(*by, "ts", "sample_id", "value", T.micros("ts").alias("at"))
     paired = T.with_previous(timed, by, "at", "sample_id", ["at", "value"])
@@ -170,7 +172,7 @@ def counter_increase(samples: DataFrame, by: Sequence[str], window: int = HOUR)
     grown = paired.withColumn(
         "growth", F.when(F.col("previous").isNotNull() & in_window, growth).otherwise(0).cast("decimal(20,4)")
     ).withColumn("until", F.greatest("at", F.coalesce(F.col("previous.at") + window, F.col("at"))))
-    grown = grown.drop("previous")
+    grown = materialize(grown.drop("previous"), "growth")
     summed = T.trailing_sum(grown, by, "at", F.col("until"), {"growth": "increase"})
     return summed.select(*by, "ts", "sample_id", F.col("increase").cast("decimal(28,4)").alias("increase"))
 

@@ -1,11 +1,15 @@
 """Product rankings, one per convention; see the README for the differences."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywell.functions import numbers as N
 from tallywell.operators.revenue import modal_value, product_totals
 from tallywell.schema import MONTHLY_RANKING_SIZE, PUBLISHED_RANKING_SIZE, TOTAL
+from tallywell.session import materialize
+
+# A list of this many product codes is small enough for every executor.
+BROADCAST_LEADERS = 10_000
 
 
 def _by_revenue(key: str):
@@ -22,51 +26,84 @@ def latest_days(df: DataFrame, k: int, date: str = "sale_date") -> DataFrame:
     return df.orderBy(F.desc(date)).limit(k)
 
 
-def month_product_base(detail: DataFrame) -> DataFrame:
-    """AG8: totals per month and product."""
+def _with_month(detail: DataFrame) -> DataFrame:
+    """The first day of the month groups faster than its text, made afterwards."""
+    return detail.withColumn("month_start", F.trunc("sale_date", "month"))
+
+
+def _year_month() -> Column:
+    return F.date_format("month_start", "yyyy-MM").alias("year_month")
+
+
+def _month_product_measures(detail: DataFrame) -> DataFrame:
     return (
-        detail.withColumn("year_month", F.date_format("sale_date", "yyyy-MM"))
-        .groupBy("year_month", "product_id")
+        _with_month(detail)
+        .groupBy("month_start", "product_id")
         .agg(
             F.sum("line_revenue").cast(TOTAL).alias("total_revenue"),
             F.sum(F.col("quantity").cast("bigint")).alias("units_sold"),
             F.countDistinct("invoice_id").alias("distinct_invoices"),
-            F.min("description").alias("product_description"),
         )
     )
 
 
-def month_totals(detail: DataFrame) -> DataFrame:
-    """WN2: the revenue of each month, from the two columns it needs."""
+def _month_product_names(detail: DataFrame) -> DataFrame:
     return (
-        detail.groupBy(F.date_format("sale_date", "yyyy-MM").alias("year_month"))
-        .agg(F.sum("line_revenue").cast(TOTAL).alias("month_revenue"))
+        _with_month(detail)
+        .groupBy("month_start", "product_id")
+        .agg(F.min("description").alias("product_description"))
+    )
+
+
+def month_product_base(detail: DataFrame) -> DataFrame:
+    """AG8: totals per month and product."""
+    measures, names = _month_product_measures(detail), _month_product_names(detail)
+    return measures.join(names, ["month_start", "product_id"], "left").select(
+        _year_month(), "product_id", "total_revenue", "units_sold", "distinct_invoices", "product_description"
     )
 
 
+def month_totals(detail: DataFrame) -> DataFrame:
+    """WN2: the revenue of each month, from the two columns it needs."""
+    months = _with_month(detail).groupBy("month_start").agg(F.sum("line_revenue").cast(TOTAL).alias("month_revenue"))
+    return months.select(_year_month(), "month_revenue")
+
+
 def monthly_ranking(detail: DataFrame, n: int = MONTHLY_RANKING_SIZE, ordered: bool = True) -> DataFrame:
     """WN1: top n products of every month with their share of the month.
 
     The rank filter sits directly above the rank, so each task passes on at most
-    n rows per month. The month totals, one row per calendar month, join after.
+    n rows per month. The leaders, n rows per calendar month, are written out,
+    and only they get a description and the total of their month.
     """
-    in_month = Window.partitionBy("year_month").orderBy(*_by_revenue("product_id"))
+    in_month = Window.partitionBy("month_start").orderBy(*_by_revenue("product_id"))
     leaders = (
-        month_product_base(detail)
+        _month_product_measures(detail)
         .withColumn("position", F.row_number().over(in_month))
         .where(F.col("position") <= n)
     )
-    totals = month_totals(detail)
-    matches = leaders["year_month"].eqNullSafe(totals["year_month"])
-    ranking = leaders.join(totals, matches, "left").select(
-        leaders["year_month"],
-        "position",
-        "product_id",
-        "product_description",
-        "total_revenue",
-        "units_sold",
-        "distinct_invoices",
-        N.percent(F.col("total_revenue"), F.col("month_revenue"), 3).alias("share_pct"),
+    leaders = materialize(leaders, "month_leaders")
+    keys = leaders.select(F.col("month_start").alias("m"), F.col("product_id").alias("p"))
+    if n <= BROADCAST_LEADERS // 100:
+        keys = F.broadcast(keys)
+    is_leader = F.col("month_start").eqNullSafe(F.col("m")) & F.col("product_id").eqNullSafe(F.col("p"))
+    names = _month_product_names(_with_month(detail).join(keys, is_leader, "left_semi"))
+    names = names.withColumnsRenamed({"month_start": "m", "product_id": "p"})
+    totals = month_totals(detail).withColumnRenamed("year_month", "total_month")
+    ranking = (
+        leaders.join(names, is_leader, "left")
+        .withColumn("year_month", _year_month())
+        .join(totals, F.col("year_month").eqNullSafe(F.col("total_month")), "left")
+        .select(
+            "year_month",
+            "position",
+            "product_id",
+            "product_description",
+            "total_revenue",
+            "units_sold",
+            "distinct_invoices",
+            N.percent(F.col("total_revenue"), F.col("month_revenue"), 3).alias("share_pct"),
+        )
     )
     return ranking.orderBy("year_month", "position") if ordered else ranking
 
@@ -113,13 +150,16 @@ def product_ranking_wh(enriched: DataFrame, n: int = PUBLISHED_RANKING_SIZE) ->
     """WN8/WN9: published ranking; the cumulative share is the running revenue
     over the grand total, rounded once.
 
-    The leaders are found on revenue alone. Only their lines are read again for
-    the distinct counts and the modal description.
+    The leaders are found on revenue alone and written out, n rows at most. Only
+    their lines are read again for the distinct counts and the modal description.
     """
     revenue = enriched.groupBy("product_id").agg(F.sum("line_revenue").cast(TOTAL).alias("total_revenue"))
     leaders = top_k(revenue, n, "total_revenue", "product_id").select(F.col("product_id").alias("leader"))
+    leaders = materialize(leaders, "leaders")
+    if n <= BROADCAST_LEADERS:
+        leaders = F.broadcast(leaders)
     is_leader = F.col("product_id").eqNullSafe(F.col("leader"))
-    lines = enriched.join(F.broadcast(leaders), is_leader, "left_semi")
+    lines = enriched.join(leaders, is_leader, "left_semi")
     totals = product_totals_wh(lines)
     names = modal_value(lines, ["product_id"], "description", "product_description")
     grand_total = enriched.agg(F.sum("line_revenue")).scalar()

@@ -69,11 +69,14 @@ def trailing_sum(
     A row is added once on entering and subtracted once after leaving, so the
     sum needs a running total and no range join.
     """
-    entering = df.withColumn("is_sample", F.lit(True))
-    leaving = df.withColumns(
-        {enters: leaves + 1, "is_sample": F.lit(False), **{v: -F.col(v) for v in values}}
-    )
-    changes = entering.unionByName(leaving)
+    others = [c for c in df.columns if c not in (enters, *values)]
+    step = [
+        F.struct(F.col(enters).alias(enters), F.lit(True).alias("is_sample"), *values),
+        F.struct(
+            (leaves + 1).alias(enters), F.lit(False).alias("is_sample"), *[(-F.col(v)).alias(v) for v in values]
+        ),
+    ]
+    changes = df.select(*others, F.inline(F.array(*step)))
     summed = running_total(changes, by, enters, values, chunk_micros)
     return summed.where("is_sample").drop("is_sample")
 

@@ -28,14 +28,15 @@ def run_analyses(
     """
     detail = read_detail(spark, detail_path)
     results = {
-        "monthly_ranking": monthly_ranking(detail, n),
-        "daily_trend": daily_trend(detail, days),
-        "country_concentration": country_concentration(detail),
+        "monthly_ranking": (monthly_ranking(detail, n, ordered=False), ["year_month", "position"]),
+        "daily_trend": (daily_trend(detail, days), ["sale_date"]),
+        "country_concentration": (country_concentration(detail), [F.desc("total_revenue"), "country"]),
     }
     rows = {}
-    for name, result in results.items():
+    for name, (result, order) in results.items():
         seen = Observation()
-        write_small_parquet(result.observe(seen, F.count(F.lit(1)).alias("result_rows")), f"{destination}/{name}")
+        counted = result.observe(seen, F.count(F.lit(1)).alias("result_rows"))
+        write_small_parquet(counted, f"{destination}/{name}", *order)
         rows[name] = seen.get["result_rows"]
     return rows
 

@@ -119,7 +119,7 @@ def run(
         "sales_detail": lambda path: out.write_parquet(detail, path, ["year", "month"]),
         "product_date_revenue": lambda path: out.write_parquet(in_order, path),
         "product_date_revenue_csv": lambda path: out.write_csv(in_order, path),
-        "daily_summary": lambda path: out.write_small_parquet(summary, path),
+        "daily_summary": lambda path: out.write_small_parquet(summary, path, "sale_date"),
         "product_ranking_csv": lambda path: out.write_csv(ranking, path),
     }
     with stages.timed("persistencia"), ThreadPoolExecutor() as jobs:

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.errors import PersistError
@@ -73,9 +73,15 @@ def write_report(spark: SparkSession, report: dict, folder: str, run_id: str) ->
     return f"{folder}/report_{run_id}"
 
 
-def write_small_parquet(df: DataFrame, path: str) -> str:
-    """SK6: a small result (a ranking, a daily series) as one file."""
-    df.coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(path)
+def write_small_parquet(df: DataFrame, path: str, *order_by: str | Column) -> str:
+    """SK6: a small result (a ranking, a daily series) as one ordered file.
+
+    The rows are gathered after the aggregation, which keeps all its tasks.
+    """
+    one = df.repartition(1)
+    if order_by:
+        one = one.sortWithinPartitions(*order_by)
+    one.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return path
 
 
