@@ -224,7 +224,7 @@ _REASONS = " UNION ALL ".join(
 def run_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """The metric rows of a run, written to the table of samples and read back."""
     seen = Observation()
-    lines = materialize(Q.classified(spark, folder).observe(seen, *count_columns(Q.RULES)).drop("ordinal"), "lines")
+    lines = materialize(Q.classified(spark, folder, "sale_date").observe(seen, *count_columns(Q.RULES)).drop("ordinal"), "lines")
     stats = dict(seen.get)
     stats["reject_pct"] = round(stats["rejected_rows"] / stats["input_rows"] * 100, 4)
     detail = add_line_revenue(valid_rows(lines))

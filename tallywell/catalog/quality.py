@@ -17,17 +17,17 @@ from tallywell.sources import star
 AS_OF = date(2004, 6, 30)
 LIMITS = Q.Limits(as_of=AS_OF, max_reject_pct=99.0)
 RULES = Q.build_rules(LIMITS, "ordinal")
-SHOWN = ("invoice_id", "product_id", "quantity", "event_ts", "unit_price", "country")
+SHOWN = ("invoice_id", "product_id", "quantity", "event_ts", "unit_price")
 SHOWN_SQL = ", ".join(SHOWN)
 
 
-def classified(spark: SparkSession, folder: str) -> DataFrame:
-    return Q.apply_rules(star.defective_lines(spark, folder), RULES)
+def classified(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
+    return Q.apply_rules(star.defective_lines(spark, folder, (*SHOWN, *extra, "ordinal")), RULES)
 
 
 def _broken(predicate) -> "DataFrame":
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        lines = star.defective_lines(spark, folder)
+        lines = star.defective_lines(spark, folder, SHOWN)
         return lines.where(F.coalesce(predicate(lines), F.lit(True))).select(*SHOWN)
 
     return run
@@ -55,7 +55,7 @@ query("rule_price", sql(
     "quantity, unit_price ORDER BY delivery, l_orderkey, l_linenumber, l_suppkey, l_partkey) AS copy "
     "FROM defective) WHERE copy > 1", "defective"))
 def duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    flagged = flag_duplicates(star.defective_lines(spark, folder), DUPLICATE_KEYS, "ordinal")
+    flagged = flag_duplicates(star.defective_lines(spark, folder, (*SHOWN, "ordinal")), DUPLICATE_KEYS, "ordinal")
     return flagged.where("is_duplicate").select(*SHOWN, F.col("ordinal.delivery").alias("delivery"))
 
 

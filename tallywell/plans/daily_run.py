@@ -78,25 +78,50 @@ def run(
     destination of the results before the aggregate has been verified. Jobs that
     do not depend on each other are submitted together.
     """
-    started = datetime.now(UTC)
-    run_id = run_id or started.strftime("%Y%m%d-%H%M%S")
+    run_id = run_id or datetime.now(UTC).strftime("%Y%m%d-%H%M%S")
+    with ThreadPoolExecutor() as jobs:
+        return _run(
+            spark, jobs, source, destination, limits, max_rows, file_format, run_id,
+            (raw_database, database_location) if load_warehouse else None,
+        )
+
+
+def _run(
+    spark: SparkSession,
+    jobs: ThreadPoolExecutor,
+    source: str,
+    destination: str,
+    limits: Q.Limits,
+    max_rows: int | None,
+    file_format: str | None,
+    run_id: str,
+    warehouse: tuple[str, str | None] | None,
+) -> dict:
+    """The stages of a run. Leaving the pool of jobs waits for those submitted,
+    so the quarantine is complete even when the gate stops the run."""
     stages = _Stages()
-    report: dict = {"run_id": run_id, "version": __version__, "input": source, "started": started.isoformat()}
-    report["quarantine"] = None
     rules = Q.build_rules(limits, "ordinal")
+    report: dict = {
+        "run_id": run_id,
+        "version": __version__,
+        "input": source,
+        "started": datetime.now(UTC).isoformat(),
+        "quarantine": None,
+        "loaded": {},
+    }
 
     with stages.timed("ingesta"):
         typed = read_sales(spark, source, file_format, max_rows, with_ordinal=True)
         typed = materialize(typed, "typed")
 
-    with stages.timed("validacion"), ThreadPoolExecutor() as jobs:
+    with stages.timed("validacion"):
         profile = jobs.submit(lambda: profile_input(typed.drop("ordinal")).first().asDict())
         classified, stats = classify(typed, limits, "ordinal")
+        report["validation"] = stats
+        quarantine = None
         if stats["rejected_rows"]:
             rejected = classified.where("is_rejected").drop("is_rejected")
-            report["quarantine"] = out.write_csv(rejected, f"{destination}/quarantine/run_id={run_id}")
-        report["validation"] = stats
-        report["ingest"] = profile.result()
+            quarantine = jobs.submit(out.write_csv, rejected, f"{destination}/quarantine/run_id={run_id}")
     stages.rows("ingesta", stats["input_rows"])
     stages.rows("validacion", stats["valid_rows"])
     Q.quality_gate(stats, rules, limits.max_reject_pct)
@@ -122,20 +147,23 @@ def run(
         "daily_summary": lambda path: out.write_small_parquet(summary, path, "sale_date"),
         "product_ranking_csv": lambda path: out.write_csv(ranking, path),
     }
-    with stages.timed("persistencia"), ThreadPoolExecutor() as jobs:
+    with stages.timed("persistencia"):
         written = {name: jobs.submit(write, f"{destination}/{name}") for name, write in writes.items()}
+        figures = jobs.submit(lambda: business_kpis(aggregate).first().asDict())
+        first_rows = jobs.submit(lambda: preview_rows(in_order, 10).collect())
         report["outputs"] = {name: job.result() for name, job in written.items()}
 
-    report["loaded"] = {}
-    if load_warehouse:
+    if warehouse:
         with stages.timed("carga_almacen"):
             tables = {"sales_detail": detail, "product_date_revenue": aggregate, "daily_summary": summary}
-            loaded = load_results(spark, tables, raw_database, database_location)
+            loaded = load_results(spark, tables, *warehouse)
             report["loaded"] = {name: result.rows for name, result in loaded.items()}
 
-    kpis = business_kpis(aggregate).first().asDict()
-    report["kpis"] = kpis
-    report["preview"] = [r.asDict() for r in preview_rows(in_order, 10).collect()]
+    report["ingest"] = profile.result()
+    report["kpis"] = kpis = figures.result()
+    report["preview"] = [r.asDict() for r in first_rows.result()]
+    if quarantine:
+        report["quarantine"] = quarantine.result()
     finished = datetime.now(UTC)
     report["finished"] = finished.isoformat()
     metrics = M.run_metrics(stats, [r.name for r in rules], stages.figures, kpis, True, finished)

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell import schema as S
@@ -71,33 +71,37 @@ def sales_lines(
     return lines.select(*[expressions.get(c, F.col(c)).alias(c) for c in columns])
 
 
-def resent_lines(spark: SparkSession, folder: str, extra: Sequence[str] = ()) -> DataFrame:
+def resent_lines(
+    spark: SparkSession, folder: str, columns: Sequence[str] = (*SALES_COLUMNS, "ordinal")
+) -> DataFrame:
     """Invoice lines as received when the lines of open items were sent twice.
 
     The second copy comes later in the order of the input.
     """
-    return sales_lines(spark, folder, (*SALES_COLUMNS, "ordinal", *extra), resent=True)
+    return sales_lines(spark, folder, columns, resent=True)
 
 
-def defective_lines(spark: SparkSession, folder: str) -> DataFrame:
+def defective_lines(
+    spark: SparkSession, folder: str, columns: Sequence[str] = (*SALES_COLUMNS, "ordinal")
+) -> DataFrame:
     """Invoice lines as received, four years later, with defects of every kind.
 
     Untaxed lines lose one value each, chosen by their discount.
     """
     marks = ("l_tax", "l_discount")
-    lines = resent_lines(spark, folder, marks)
+    lines = resent_lines(spark, folder, (*columns, *marks))
     defect = F.when(F.col("l_tax") == 0, F.col("l_discount"))
-    late = F.col("event_ts") + F.expr("INTERVAL 4 YEARS")
-    return lines.withColumns(
-        {
-            "product_id": F.when(defect == 0.01, F.lit("   ")).when(
-                defect.isNull() | (defect != 0), F.col("product_id")
-            ),
-            "event_ts": F.when(defect.isNull() | (defect != 0.02), late),
-            "quantity": F.when(defect.isNull() | (defect != 0.03), F.col("quantity")),
-            "unit_price": F.when(defect.isNull() | (defect != 0.04), F.col("unit_price")),
-        }
-    ).drop(*marks)
+
+    def unless(discount: float, column: Column) -> Column:
+        return F.when(defect.isNull() | (defect != discount), column)
+
+    changed = {
+        "product_id": F.when(defect == 0.01, F.lit("   ")).otherwise(unless(0.0, F.col("product_id"))),
+        "event_ts": unless(0.02, F.col("event_ts") + F.expr("INTERVAL 4 YEARS")),
+        "quantity": unless(0.03, F.col("quantity")),
+        "unit_price": unless(0.04, F.col("unit_price")),
+    }
+    return lines.withColumns({c: changed[c] for c in columns if c in changed}).drop(*marks)
 
 
 def valid_lines(spark: SparkSession, folder: str, columns: Sequence[str] = SALES_COLUMNS) -> DataFrame:
