@@ -3,23 +3,17 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywell.session import materialize
 
-# Repeated keys are sent to every executor only while their list is this short
-# and their text this small.
+# A list of repeated keys is sent to every executor only while it is this short
+# and its text this small.
 BROADCAST_KEYS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with more copies than this is hot: at most rows / HOT_COPIES keys are.
+# A key with more copies than this is hot and its rows are spread over tasks.
 HOT_COPIES = 1_000_000
-SPREAD = 512
-
-
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    matches = [left[k].eqNullSafe(right[f"k_{k}"]) for k in keys]
-    return reduce(lambda a, b: a & b, matches)
 
 
 def flag_duplicates(
@@ -34,59 +28,56 @@ def flag_duplicates(
 
     ``order_by`` is a column that orders the rows of one key (it may be a struct).
 
-    A first pass counts the keys, before and after the shuffle, so a third of all
-    rows being copies of one line is one row per task. It writes out the keys
-    that repeat, usually few. A short list is broadcast and the detail is never
-    shuffled. A long list is joined by key, with the hot keys resolved by a
-    broadcast whose size ``hot_copies`` bounds, and their rows spread over many
-    tasks.
+    A first pass shuffles nothing but a hash of the key, counted before and after
+    the shuffle, so a third of all rows being copies of one line is one row per
+    task. Rows whose hash never repeats are no duplicates; the others are compared
+    by their true keys. Few repeated hashes are broadcast and the detail is never
+    shuffled. With many, the rows are numbered within their key, except those of
+    hot keys: their first copy is known from a broadcast, of ``broadcast_keys``
+    keys by choice of the limit, and their rows are spread.
     """
-    named_keys = [F.col(k).alias(f"k_{k}") for k in keys]
-    repeated = df.groupBy(*named_keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+    hashed = df.withColumn("key_hash", F.xxhash64(*keys))
+    repeated = hashed.groupBy("key_hash").agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
     repeated = materialize(repeated, "repeated_keys")
-    text = F.octet_length(F.concat_ws("", *[F.col(f"k_{k}").cast("string") for k in keys]))
-    is_hot = F.col("copies") > hot_copies
     size = repeated.agg(
-        F.count("*").alias("keys"),
-        F.sum(text).alias("bytes"),
-        F.count_if(is_hot).alias("hot"),
-        F.sum(F.when(is_hot, text)).alias("hot_bytes"),
+        F.count("*").alias("keys"), F.sum("copies").alias("rows"), F.max("copies").alias("most")
     ).first()
     if size["keys"] == 0:
         return df.withColumn(flag, F.lit(False))
 
-    helper_columns = [f"k_{k}" for k in keys] + ["first_copy"]
     later_copy = F.coalesce(F.col(order_by) > F.col("first_copy"), F.lit(False))
-    if size["keys"] <= broadcast_keys and size["bytes"] <= BROADCAST_BYTES:
-        copies = df.join(F.broadcast(repeated), _same_keys(df, repeated, keys), "left_semi")
-        firsts = copies.groupBy(*named_keys).agg(F.min(order_by).alias("first_copy"))
-        joined = df.join(F.broadcast(firsts), _same_keys(df, firsts, keys), "left")
-        return joined.withColumn(flag, later_copy).drop(*helper_columns)
+    if size["keys"] <= broadcast_keys:
+        known = _with_first_copy(hashed, repeated, keys, order_by)
+        return known.withColumn(flag, later_copy).select(*df.columns, flag)
 
-    groups = (
-        df.groupBy(*named_keys)
-        .agg(F.count("*").alias("copies"), F.min(order_by).alias("first_copy"))
-        .where(F.col("copies") > 1)
-    )
-    groups = materialize(groups, "first_copies")
-    helper_columns.append("copies")
-    hot = groups.where(is_hot)
-    usual = groups.where(~is_hot).withColumn("k_spread", F.lit(0))
-    if size["hot"] <= broadcast_keys and (size["hot_bytes"] or 0) <= BROADCAST_BYTES:
-        hot = F.broadcast(hot)
-    first_pass = (
-        df.join(hot, _same_keys(df, hot, keys), "left")
-        .withColumn("is_hot", F.col("copies").isNotNull())
-        .withColumn("hot_flag", later_copy)
-        .drop(*helper_columns)
-        .withColumn(
-            "spread",
-            F.when(F.col("is_hot"), F.pmod(F.xxhash64(order_by), F.lit(SPREAD)) + 1).otherwise(0),
-        )
-    )
-    same = _same_keys(first_pass, usual, keys) & (first_pass["spread"] == usual["k_spread"])
-    return (
-        first_pass.join(usual, same, "left")
-        .withColumn(flag, F.col("hot_flag") | later_copy)
-        .drop(*helper_columns, "k_spread", "is_hot", "hot_flag", "spread")
+    limit = max(hot_copies, size["rows"] // max(broadcast_keys, 1))
+    if size["most"] <= limit:
+        in_key = Window.partitionBy(*keys).orderBy(order_by)
+        return df.withColumn(flag, F.row_number().over(in_key) > 1)
+
+    known = _with_first_copy(hashed, repeated.where(F.col("copies") > limit), keys, order_by)
+    tasks = F.ceil(F.col("copies") / F.lit(limit))
+    known = known.withColumn("spread", F.coalesce(F.pmod(F.xxhash64(order_by), tasks), F.lit(0)))
+    in_key = Window.partitionBy(*keys, "spread").orderBy(order_by)
+    numbered = known.withColumn("number", F.row_number().over(in_key))
+    return numbered.withColumn(
+        flag, F.when(F.col("copies").isNotNull(), later_copy).otherwise(F.col("number") > 1)
+    ).select(*df.columns, flag)
+
+
+def _with_first_copy(hashed: DataFrame, listed: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
+    """Add the number of copies and the first one to the rows of the listed hashes.
+
+    The hashes are few and eight bytes each; the keys they stand for are broadcast
+    too unless their text is large.
+    """
+    candidates = hashed.join(F.broadcast(listed.select("key_hash")), "key_hash", "left_semi")
+    firsts = candidates.groupBy(*[F.col(k).alias(f"k_{k}") for k in keys]).agg(
+        F.count("*").alias("copies"), F.min(order_by).alias("first_copy")
     )
+    firsts = materialize(firsts.where(F.col("copies") > 1), "first_copies")
+    text = F.octet_length(F.concat_ws("", *[F.col(f"k_{k}").cast("string") for k in keys]))
+    if (firsts.agg(F.sum(text)).first()[0] or 0) <= BROADCAST_BYTES:
+        firsts = F.broadcast(firsts)
+    matches = [hashed[k].eqNullSafe(firsts[f"k_{k}"]) for k in keys]
+    return hashed.join(firsts, reduce(lambda a, b: a & b, matches), "left")

@@ -89,6 +89,16 @@ def test_duplicates_by_every_path(spark, options):
     assert flagged.where("is_duplicate != (n > 0)").count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_keys": 0, "hot_copies": 10}, {"broadcast_keys": 1, "hot_copies": 2}])
+def test_keys_of_equal_hash_stay_apart(spark, options):
+    """A null leaves the hash unchanged, so these two keys share theirs."""
+    rows = [(None, "x", n) for n in range(5)] + [("x", None, n) for n in range(5, 6)]
+    df = spark.createDataFrame(rows, "a string, b string, n int")
+    assert df.selectExpr("xxhash64(a, b) h").distinct().count() == 1
+    flagged = flag_duplicates(df, ["a", "b"], "n", **options)
+    assert sorted(r.n for r in flagged.where("is_duplicate").collect()) == [1, 2, 3, 4]
+
+
 def test_no_duplicates_needs_no_join(spark):
     df = spark.range(100).withColumn("b", F.lit(1))
     flagged = flag_duplicates(df, ["id", "b"], "id")
