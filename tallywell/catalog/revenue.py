@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.catalog.base import query, ratio, sql
+from tallywell.functions import numbers as N
 from tallywell.functions.vocabulary import with_spanish_names
 from tallywell.operators import revenue as R
 from tallywell.operators.profile import preview_rows
@@ -108,6 +109,19 @@ def attach_description(spark: SparkSession, folder: str) -> DataFrame:
     return R.attach_description(counts, detail)
 
 
+@query("derived_ratios", sql(
+    f"""SELECT product_id, {ratio("sum(line_revenue)", "count(*) FILTER (WHERE country IS NULL)", 2)} AS per_unnamed_line,
+        CAST(sum(line_revenue) AS DECIMAL(18,2)) AS amount
+    FROM lines GROUP BY product_id""", "lines"))
+def derived_ratios(spark: SparkSession, folder: str) -> DataFrame:
+    """Denominators of zero give null, negative amounts round away from zero."""
+    lines = R.add_line_revenue(star.sales_lines(spark, folder, ("product_id", "country", "quantity", "unit_price")))
+    total, unnamed = F.sum("line_revenue"), F.count_if(F.col("country").isNull())
+    return lines.groupBy("product_id").agg(
+        N.ratio(total, unnamed, 2).alias("per_unnamed_line"), N.money(total).alias("amount")
+    )
+
+
 @query("distinct_keys", sql("SELECT DISTINCT invoice_id FROM valid", "valid"))
 def distinct_keys(spark: SparkSession, folder: str) -> DataFrame:
     return R.distinct_keys(star.valid_lines(spark, folder, ("invoice_id",)), "invoice_id")

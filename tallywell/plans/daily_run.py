@@ -22,7 +22,7 @@ from tallywell.schema import REPORT_RANKING_SIZE
 from tallywell.session import materialize, new_path
 from tallywell.sinks import files as out
 from tallywell.sinks.warehouse import load_results
-from tallywell.sources.files import read_sales
+from tallywell.sources.files import input_format, read_sales
 
 EXIT_OK, EXIT_DATA_PROBLEM, EXIT_UNEXPECTED = 0, 1, 2
 
@@ -73,7 +73,7 @@ def run(
 ) -> dict:
     """Process one input and return the run report.
 
-    Text is parsed once; each later stage starts from written columns. Rejected
+    Text is parsed once; Parquet is read in place, by column. Rejected
     rows are kept as evidence before the gate decides. Nothing reaches the
     destination of the results before the aggregate has been verified. Jobs that
     do not depend on each other are submitted together.
@@ -112,7 +112,8 @@ def _run(
 
     with stages.timed("ingesta"):
         typed = read_sales(spark, source, file_format, max_rows, with_ordinal=True)
-        typed = materialize(typed, "typed")
+        if input_format(source, file_format) == "csv" or max_rows is not None:
+            typed = materialize(typed, "typed")
 
     with stages.timed("validacion"):
         profile = jobs.submit(lambda: profile_input(typed.drop("ordinal")).first().asDict())

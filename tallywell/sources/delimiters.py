@@ -15,11 +15,13 @@ def _head_lines(head_bytes: int):
     """Task helper: the lines of the first bytes of each listed file."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from urllib.parse import quote
+
         from pyarrow import fs
 
         for batch in batches:
             for path in batch["path"]:
-                uri = path.replace("s3a://", "s3://", 1)
+                uri = quote(path.replace("s3a://", "s3://", 1), safe="/:@")
                 filesystem, location = fs.FileSystem.from_uri(uri)
                 with filesystem.open_input_stream(location) as stream:
                     head = stream.read(head_bytes + 1)

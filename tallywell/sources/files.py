@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,7 +65,7 @@ def read_csv_raw(
         .csv(paths)
     )
     if with_ordinal:
-        raw = raw.select("*", file_ordinal().alias("ordinal"))
+        raw = raw.select("*", text_ordinal().alias("ordinal"))
     raw = drop_overlong_rows(raw, delimiter)
     if null_tokens:
         raw = raw.withColumns(
@@ -74,8 +74,8 @@ def read_csv_raw(
     return raw
 
 
-def file_ordinal():
-    """Position of a row in its input: file, split, row of the split."""
+def text_ordinal() -> Column:
+    """Position of a line in its input: file, split, line of the split."""
     return F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
@@ -83,6 +83,20 @@ def file_ordinal():
     )
 
 
+def parquet_ordinal() -> Column:
+    """Position of a row in its input: file and row, the same in every scan."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def input_format(path: str, file_format: str | None = None) -> str:
+    """The format asked for, or the one of the extension."""
+    extension = os.path.splitext(path.rstrip("/"))[1].lower()
+    chosen = file_format or FORMATS.get(extension)
+    if chosen not in ("csv", "parquet"):
+        raise IngestError(f"unsupported format {extension!r}; accepted are {sorted(FORMATS)}")
+    return chosen
+
+
 def read_sales_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -94,7 +108,8 @@ def read_sales_csv(
     """SRC1: typed invoice lines from delimited text.
 
     Without a ``delimiter`` it is inferred per file, and the files of each of
-    the few delimiters are scanned together.
+    the few delimiters are scanned together. Only mixed files bring their names
+    to the driver, which lists them for any scan.
     """
     if delimiter is not None:
         by_delimiter = {delimiter: path}
@@ -117,7 +132,7 @@ def read_sales_parquet(spark: SparkSession, path: str | list[str], with_ordinal:
     """SRC4: typed invoice lines from Parquet with source or model headers."""
     raw = spark.read.parquet(*([path] if isinstance(path, str) else path))
     if with_ordinal:
-        raw = raw.select("*", file_ordinal().alias("ordinal"))
+        raw = raw.select("*", parquet_ordinal().alias("ordinal"))
     return coerce_types(require_columns(rename_columns(raw)))
 
 
@@ -129,10 +144,7 @@ def read_sales(
     **options,
 ) -> DataFrame:
     """SRC6: choose the reader by extension; every failure is an ``IngestError``."""
-    extension = os.path.splitext(path.rstrip("/"))[1].lower()
-    chosen = file_format or FORMATS.get(extension)
-    if chosen not in ("csv", "parquet"):
-        raise IngestError(f"unsupported format {extension!r}; accepted are {sorted(FORMATS)}")
+    chosen = input_format(path, file_format)
     try:
         if chosen == "csv":
             sales = read_sales_csv(spark, path, **options)

@@ -4,12 +4,16 @@ from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywell import schema as S
 from tallywell.errors import IngestError
 from tallywell.functions import text as X
 
 
+FIXED_TYPES = {(f.name, f.dataType) for f in S.INVOICE_LINE if f.dataType != T.StringType()}
+
+
 def normalize_name(name: str) -> str:
     """PRJ1: one blank between words, none at the ends."""
     return " ".join(str(name).split())
@@ -43,7 +47,10 @@ def require_columns(df: DataFrame) -> DataFrame:
 
 
 def coerce_types(df: DataFrame) -> DataFrame:
-    """PRJ4: fixed types for the known columns; what cannot be read becomes null."""
+    """PRJ4: fixed types for the known columns; what cannot be read becomes null.
+
+    Columns that already have their type are left alone, all but text.
+    """
     readers = {
         "event_ts": X.parse_timestamp,
         "quantity": lambda c: X.parse_whole_number(c, "int"),
@@ -54,7 +61,10 @@ def coerce_types(df: DataFrame) -> DataFrame:
         "country": lambda c: X.clean_code(c.cast("string")),
         "customer_id": lambda c: X.parse_whole_number(c, "bigint"),
     }
-    typed = df.withColumns({c: read(F.col(c)) for c, read in readers.items() if c in df.columns})
+    ready = {f.name for f in df.schema if (f.name, f.dataType) in FIXED_TYPES}
+    typed = df.withColumns(
+        {c: read(F.col(c)) for c, read in readers.items() if c in df.columns and c not in ready}
+    )
     if "event_ts" in typed.columns:
         typed = typed.withColumn("sale_date", F.col("event_ts").cast("date"))
     return typed

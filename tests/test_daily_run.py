@@ -93,6 +93,15 @@ def test_analyses_and_warehouse(spark, done):
     assert len(checks) == 35 and all(c["status"] == "pass" for c in checks)
 
 
+def test_parquet_source_gives_the_same(spark, done, tmp_path):
+    base, report = done
+    path = str(tmp_path / "in.parquet")
+    text = spark.read.option("header", True).csv(str(base / "in.csv"))
+    text.unionByName(text.limit(1)).write.parquet(path)
+    again = daily_run.run(spark, path, str(tmp_path / "o"), LOOSE)
+    assert again["kpis"] == report["kpis"] and again["validation"]["sin_duplicados_exactos"] == 1
+
+
 def test_row_cap(spark, tmp_path):
     report = daily_run.run(spark, source(tmp_path, bad=False), str(tmp_path / "o"), LOOSE, max_rows=15)
     assert report["validation"]["input_rows"] == 15 and report["quarantine"] is None

@@ -46,6 +46,11 @@ def test_delimiter_defaults_to_comma(spark, tmp_path):
     assert infer_delimiter(spark, put(tmp_path, "a.csv", "alone\n1\n")).first().delimiter == ","
 
 
+def test_file_names_with_blanks_and_signs(spark, tmp_path):
+    paths = [put(tmp_path, "año 50% a.csv", csv_text(RAW[:2], ";")), put(tmp_path, "b c.csv", csv_text(RAW[2:], "|"))]
+    assert files.read_sales_csv(spark, paths).count() == 5
+
+
 def test_only_the_head_of_a_file_decides(spark, tmp_path):
     text = csv_text(RAW, ";") + "x,y,z,w\n" * 5000
     assert infer_delimiter(spark, put(tmp_path, "a.csv", text), head_bytes=200).first().delimiter == ";"
