@@ -1,18 +1,33 @@
 """The numbered operators as queries over the test tables."""
 
+import functools
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywell.llm import bpe, packing, simhash
+from tallywell.llm import bpe, packing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def make_importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies beside the entry file and isn't installed."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def _query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[make.__name__] = make
-    return make
+    @functools.wraps(make)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        make_importable(spark)
+        return make(spark, sf_dir)
+
+    QUERIES[make.__name__] = run
+    return run
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,3 +47,13 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))

@@ -54,3 +54,18 @@ def crc32_mod(column: Column, modulus: int) -> Column:
 
 def sha256_of_ids(ids: Column) -> Column:
     return F.sha2(F.concat_ws(",", ids.cast("array<string>")), 256)
+
+
+def annotate(docs: DataFrame, text_col: str, work: Callable[[pa.RecordBatch], list[pa.Array]], fields: str) -> DataFrame:
+    """``row`` (a struct of all columns of ``docs``) and the ``fields`` that ``work`` computes.
+
+    ``work`` gets batches with ``row`` and ``text`` (null as empty) and returns one
+    array per field. Columns of ``docs`` can have any name, as they stay in the struct.
+    """
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
+    names = [f.strip().split(" ")[0] for f in fields.split(", ")]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column("row"), *work(batch)], ["row", *names])
+
+    return rows.mapInArrow(text_batches(run), f"row {rows.schema['row'].dataType.simpleString()}, {fields}")
