@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywell.llm import bpe, packing, quality, simhash, toxicity
+from tallywell.llm import bpe, packing, pii, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,8 @@ def op7_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find_personal_data(_table(spark, sf_dir, "documents")))
