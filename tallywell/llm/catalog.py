@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywell.llm import bpe, packing, pii, quality, simhash, toxicity
+from tallywell.llm import bpe, katz, packing, pii, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,8 @@ def op6_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_personal_data(_table(spark, sf_dir, "documents")))
+
+
+@_query
+def op5_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(_table(spark, sf_dir, "documents"))
