@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywell.llm import bpe, katz, packing, pii, quality, simhash, toxicity
+from tallywell.llm import bpe, katz, packing, pii, quality, simhash, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,23 @@ def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score_documents(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op1_kd_tree_top_k"] = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS p
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.p, c.p) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""
