@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywell.llm import bpe, html_text, katz, packing, pii, quality, simhash, topk, toxicity
+from tallywell.llm import bpe, html_text, katz, packing, pii, quality, simhash, topk, toxicity, training_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,8 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 @_query
 def op9_html_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.digests(training_order.materialise(_table(spark, sf_dir, "documents"), "order-1"))

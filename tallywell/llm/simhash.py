@@ -266,3 +266,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shown = F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint")
     return rows.join(ids, "bits").select("doc_id", shown, "component_id")
 
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = BUDGET) -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest id (null first), then of the first copy.
+
+    Rows are written with a key, so that repeated and null ids are told apart.
+    """
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    rows = materialize(docs.select(whole, F.monotonically_increasing_id().alias("key")), "keyed")
+    ids = rows.select(F.struct(F.col("row").getField(id_col), F.col("key")).alias("id"), F.col("row").getField(text_col).alias("text"))
+    found = near_duplicates(ids, "id", "text", budget)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id.key")
+    return rows.join(kept, "key", "left_semi").select("row.*")
