@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from tallywell.llm.common import crc32_mod, id_and_text, in_slices, materialize
 
 CHUNK_BYTES = 8 << 20
-CHUNKS_PER_BUCKET = 4
-LEAST_BUCKETS = 48
+CHUNKS_PER_BUCKET = 2
+LEAST_BUCKETS = 16
 
 #: Counts above this one are not discounted.
 DISCOUNTED = 5
