@@ -225,16 +225,18 @@ def links(distinct: DataFrame, budget: int = BUDGET, most: int = GROUP_FINGERPRI
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` for every end of an edge ``a, b``; root is one node of the component.
 
-    Every node points to the smallest of its neighbours and itself, and the edges move to
-    what their ends point to, until none is left; each round at least halves the nodes
-    that still have edges. Rounds are written to the shared folder. A hub costs one
-    row per task in the aggregation, and adaptive execution splits it in the joins.
+    Every node points to the first of its neighbours and itself in a random order that is
+    new in each round, and the edges move to what their ends point to, until none is left.
+    Long chains shrink by a constant share per round, whatever their values. Rounds are
+    written to the shared folder. A hub costs one row per task in the aggregation, and
+    adaptive execution splits it in the joins.
     """
     rounds: list[DataFrame] = []
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        pointed = both.groupBy("a").agg(F.min("b").alias("least"))
-        parents = materialize(pointed.select(F.col("a").alias("node"), F.least("a", "least").alias("root")), "parents")
+        ranked = [F.struct(F.xxhash64(c, F.lit(len(rounds))).alias("rank"), F.col(c).alias("node")) for c in "ab"]
+        pointed = both.select("a", ranked[0].alias("own"), ranked[1].alias("other")).groupBy("a").agg(F.min(F.least("own", "other")).alias("first"))
+        parents = materialize(pointed.select(F.col("a").alias("node"), F.col("first.node").alias("root")), "parents")
         rounds.append(parents)
         left = parents.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         right = parents.select(F.col("node").alias("b"), F.col("root").alias("rb"))
