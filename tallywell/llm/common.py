@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.session import materialize
+from tallywell.session import new_path
 
 __all__ = ["crc32_mod", "id_and_text", "in_slices", "materialize", "sha256_of_ids", "text_batches"]
 
@@ -14,6 +14,13 @@ __all__ = ["crc32_mod", "id_and_text", "in_slices", "materialize", "sha256_of_id
 SLICE_BYTES = 4 << 20
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame once to the shared folder, zstd-compressed as it may hold texts, and read it back."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """Only the columns an operator reads, under fixed names, a null text as empty.
 

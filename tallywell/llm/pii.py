@@ -173,7 +173,8 @@ def add_context_spans(found: DataFrame, patterns: DataFrame) -> DataFrame:
     each = each.select("key", "o.start", "o.end", "o.said", F.explode("o.contexts").alias("pattern"))
     told = each.join(patterns, "pattern", "left_semi")
     span = F.struct("start", F.lit(len(PATTERNS)).alias("kind"), "end", "said").cast(_SPAN)
-    told = told.groupBy("key").agg(F.collect_set(span).alias("more"))
+    # written first, so that the optimizer knows how few they are before it moves the texts
+    told = materialize(told.groupBy("key").agg(F.collect_set(span).alias("more")), "context_spans")
     joined = found.join(told, "key", "left")
     return joined.withColumn("all_spans", F.array_sort(F.concat("spans", F.coalesce("more", F.array().cast(f"array<{_SPAN}>"))))).drop("more")
 

@@ -23,7 +23,7 @@ from tallywell.llm.tokens import default_path, encode, vocabulary
 from tallywell.session import new_path
 
 SEQUENCE_TOKENS = 1024
-SHARD_SEQUENCES = 8192
+SHARD_SEQUENCES = 4096
 END_OF_TEXT = 2
 ROUNDS = 6
 
@@ -74,15 +74,16 @@ def id_type(path: str) -> np.dtype:
 
 
 def write_sequences(docs: DataFrame, id_col: str, text_col: str, path: str, length: int, end_id: int) -> DataFrame:
-    """Written rows ``part, block, n, packed``: sequences of whole documents one after the other.
+    """Written rows ``part, own, n, packed``: sequences of whole documents one after the other.
 
-    Every document is followed by the end id. A block is a few MB of text of one
-    partition; its last sequence is filled up with the end id.
+    Every document is followed by the end id. A row is a block of a few MB of text of one
+    partition; its last sequence is filled up with the end id. ``own`` is the number of
+    sequences of the partition before the block.
     """
     kind = id_type(path)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block = TaskContext.get().partitionId(), 0
+        part, own = TaskContext.get().partitionId(), 0
         for batch in batches:
             for slice_ in in_slices(batch):
                 ids = array("I")
@@ -92,22 +93,23 @@ def write_sequences(docs: DataFrame, id_col: str, text_col: str, path: str, leng
                 n = -(-len(ids) // length)
                 whole = np.full(n * length, end_id, kind)
                 whole[: len(ids)] = np.frombuffer(ids, np.uint32)
-                columns = [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([n], pa.int64()), pa.array([zstandard.compress(whole.tobytes(), 6)], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["part", "block", "n", "packed"])
-                block += 1
+                columns = [pa.array([part], pa.int32()), pa.array([own], pa.int64()), pa.array([n], pa.int64()), pa.array([zstandard.compress(whole.tobytes(), 6)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "own", "n", "packed"])
+                own += n
 
-    return materialize(id_and_text(docs, id_col, text_col).mapInArrow(cut, "part int, block int, n long, packed binary"), "sequences")
+    return materialize(id_and_text(docs, id_col, text_col).mapInArrow(cut, "part int, own long, n long, packed binary"), "sequences")
 
 
 def _numbered(blocks: DataFrame) -> DataFrame:
-    """Add ``first``, the number of a block's first sequence: sums over partitions, then inside each."""
-    parts = blocks.groupBy("part").agg(F.sum("n").alias("_all"))
+    """``first``, the number of a block's first sequence, and ``packed``.
+
+    The sequences of the partitions before are one number per partition, written so that
+    the optimizer knows its size and leaves the blocks where they are.
+    """
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    own = blocks.select("part", "block", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("_own"))
-    firsts = own.join(parts, "part").select("part", "block", (F.col("_own") + F.col("_before")).alias("first"))
-    return blocks.join(firsts, ["part", "block"])
+    parts = blocks.groupBy("part").agg(F.sum("n").alias("_all"))
+    parts = materialize(parts.select("part", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("before")), "partitions")
+    return blocks.join(parts, "part").select((F.col("before") + F.col("own")).alias("first"), "packed")
 
 
 def write_training_order(
@@ -152,7 +154,7 @@ def write_training_order(
         own = pa.Array.from_buffers(pa.binary(), len(slots), [None, ends, pa.py_buffer(records)])
         return pa.table([shard, pa.array(slots), own], ["shard", "slot", "record"])
 
-    dealt = _numbered(blocks).select("first", "packed").mapInArrow(deal, "shard long, slots binary, packed binary")
+    dealt = _numbered(blocks).mapInArrow(deal, "shard long, slots binary, packed binary")
     records = dealt.groupBy("shard").applyInArrow(gather, "shard long, slot long, record binary")
     lines = records.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
     lines.write.partitionBy("shard").option("lineSep", SEPARATOR).option("compression", "none").text(folder)
@@ -160,43 +162,44 @@ def write_training_order(
 
 
 def read_training_order(
-    spark: SparkSession, folder: str, first_slot: int = 0, path: str | None = None, length: int = SEQUENCE_TOKENS, shard_sequences: int = SHARD_SEQUENCES
+    spark: SparkSession,
+    folder: str,
+    first_slot: int = 0,
+    path: str | None = None,
+    length: int = SEQUENCE_TOKENS,
+    shard_sequences: int = SHARD_SEQUENCES,
+    order: Permutation | None = None,
 ) -> DataFrame:
-    """``shard, slot, at`` (byte of the record in its file) and ``ids`` from a slot on; earlier shards aren't opened."""
+    """``shard, slot, at`` (byte of the record in its file), ``sequence`` and ``ids`` from a slot on; earlier shards aren't opened.
+
+    ``sequence`` is the number that the slot came from, null without the permutation.
+    """
     stride = length * id_type(path or default_path()).itemsize
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content").to_pylist()):
-                n = len(content) // (stride + 1)
-                records = np.frombuffer(content, np.uint8)[: n * (stride + 1)].reshape(n, stride + 1)[:, :stride]
-                slots = shard * shard_sequences + np.arange(n)
+            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
+                records = np.frombuffer(content.as_buffer(), np.uint8).reshape(-1, stride + 1)
+                slots = shard * shard_sequences + np.arange(len(records))
                 wanted = np.flatnonzero(slots >= first_slot)
-                columns = [pa.array(np.full(len(wanted), shard)), pa.array(slots[wanted]), pa.array(wanted * (stride + 1))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([records[k].tobytes() for k in wanted], pa.binary())], ["shard", "slot", "at", "ids"])
+                for some in np.array_split(wanted, 1 + len(wanted) // 1024):
+                    numbers = pa.array(order.numbers(slots[some])) if order else pa.nulls(len(some), pa.int64())
+                    columns = [pa.array(np.full(len(some), shard)), pa.array(slots[some]), pa.array(some * (stride + 1)), numbers]
+                    ids = pa.array([records[k, :stride].tobytes() for k in some], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*columns, ids], ["shard", "slot", "at", "sequence", "ids"])
 
     files = spark.read.format("binaryFile").load(folder).where(F.col("shard") >= first_slot // shard_sequences)
-    return files.select(F.col("shard").cast("long"), "content").mapInArrow(cut, "shard long, slot long, at long, ids binary")
+    return files.select(F.col("shard").cast("long"), "content").mapInArrow(cut, "shard long, slot long, at long, sequence long, ids binary")
 
 
 def materialise(docs: DataFrame, key: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the training order (to a new shared folder by default) and read the shards back: one row per sequence.
-
-    ``sequence`` is the number that the slot came from; ``ids`` are the bytes of the record.
-    """
+    """Write the training order (to a new shared folder by default) and read the shards back: one row per sequence."""
     spark = docs.sparkSession
     folder = folder or new_path(spark, "training_order")
     total = write_training_order(docs, folder, key, id_col, text_col)
     if not total:
         return spark.createDataFrame([], "shard long, slot long, at long, sequence long, ids binary")
-    order = Permutation(total, key)
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = order.numbers(batch.column("slot").to_numpy())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(own), batch.column(3)], ["shard", "slot", "at", "sequence", "ids"])
-
-    return read_training_order(spark, folder).mapInArrow(number, "shard long, slot long, at long, sequence long, ids binary")
+    return read_training_order(spark, folder, order=Permutation(total, key))
 
 
 def digests(records: DataFrame) -> DataFrame:
