@@ -143,7 +143,7 @@ def write_training_order(
                 slots = order.slots(first + np.arange(len(records)))
                 rows = np.argsort(slots)
                 shards, starts = np.unique(slots[rows] // shard_sequences, return_index=True)
-                out = [(int(s), slots[own].tobytes(), zstandard.compress(records[own].tobytes(), 3)) for s, own in zip(shards, np.split(rows, starts[1:]))]
+                out = [(int(s), slots[own].tobytes(), zstandard.compress(records[own].tobytes(), 6)) for s, own in zip(shards, np.split(rows, starts[1:]))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], ["shard", "slots", "packed"])
 
     def gather(table: pa.Table) -> pa.Table:
