@@ -1,6 +1,6 @@
 """Queries of the data tests, over inputs that break them."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,14 +47,26 @@ def accepted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("check_freshness", sql(
-    """SELECT latest, age_hours, CASE WHEN latest IS NULL OR age_hours > 72 THEN 'error'
-        WHEN age_hours > 26 THEN 'warn' ELSE 'pass' END AS status
-    FROM (SELECT latest, date_diff('second', CAST(latest AS TIMESTAMP), TIMESTAMP '2001-11-06 12:00:00') // 3600
-        AS age_hours FROM (SELECT max(sale_date) AS latest FROM valid))""", "valid"))
+    """SELECT latest, age // 3600 AS age_hours, CASE WHEN latest IS NULL OR age > 72 * 3600 THEN 'error'
+        WHEN age > 26 * 3600 THEN 'warn' ELSE 'pass' END AS status
+    FROM (SELECT latest, date_diff('second', CAST(latest AS TIMESTAMP), TIMESTAMP '2001-11-06 12:00:00')
+        AS age FROM (SELECT max(sale_date) AS latest FROM valid))""", "valid"))
 def freshness(spark: SparkSession, folder: str) -> DataFrame:
     return C.check_freshness(star.valid_lines(spark, folder, ("sale_date",)), AS_OF)
 
 
+@query("check_freshness_part_hours", sql(
+    """SELECT latest, age // 3600 AS age_hours, CASE WHEN age > 72 * 3600 THEN 'error'
+        WHEN age > 26 * 3600 THEN 'warn' ELSE 'pass' END AS status
+    FROM (SELECT max(event_ts) AS latest FROM valid), (SELECT unnest([95400, 261000]) AS age)""", "valid"))
+def freshness_part_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Half an hour over each limit: 26 h 30 min and 72 h 30 min after the last line."""
+    lines = star.valid_lines(spark, folder, ("event_ts",))
+    latest = lines.agg(F.max("event_ts").alias("latest")).first()["latest"]
+    found = [C.check_freshness(lines, latest + timedelta(seconds=s), "event_ts") for s in (95400, 261000)]
+    return found[0].unionByName(found[1])
+
+
 _TOTALS = """SELECT detail_total, aggregate_total, CAST(abs(detail_total - aggregate_total) AS DECIMAL(29,2)) AS difference
     FROM (SELECT CAST(sum(line_revenue) AS DECIMAL(28,2)) AS detail_total FROM lines),
         (SELECT CAST(sum(line_revenue) AS DECIMAL(28,2)) AS aggregate_total FROM valid)"""

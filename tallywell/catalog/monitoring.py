@@ -23,9 +23,14 @@ def samples(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("published_coverage", sql(
-    "SELECT max(sale_date) AS latest_date, count(DISTINCT sale_date) AS days, true AS ok FROM valid", "valid"))
+    """SELECT max(sale_date) AS latest_date, count(DISTINCT sale_date) AS days, count(sale_date) > 0 AS ok FROM valid
+    UNION ALL SELECT max(sale_date), count(DISTINCT sale_date), count(sale_date) > 0 FROM valid WHERE quantity > 1000000""",
+    "valid"))
 def published_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    return M.published_coverage(totals_by(star.valid_lines(spark, folder, ("sale_date",)), "sale_date"))
+    """The published days, and those of a table that came out empty."""
+    lines = star.valid_lines(spark, folder, ("sale_date", "quantity"))
+    found = [M.published_coverage(totals_by(part, "sale_date")) for part in (lines, lines.where("quantity > 1000000"))]
+    return found[0].unionByName(found[1])
 
 
 _TABLES = {
@@ -55,11 +60,16 @@ def table_volumes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("layer_coherence", sql(
-    "SELECT total AS detail_total, total AS aggregate_total, CAST(0 AS DECIMAL(29,2)) AS difference, true AS ok "
-    "FROM (SELECT CAST(sum(line_revenue) AS DECIMAL(28,2)) AS total FROM valid)", "valid"))
+    """SELECT detail_total, aggregate_total, CAST(abs(detail_total - aggregate_total) AS DECIMAL(29,2)) AS difference,
+        abs(detail_total - aggregate_total) <= 0.01 AS ok
+    FROM (SELECT CAST(sum(line_revenue) AS DECIMAL(28,2)) AS detail_total FROM valid),
+        (SELECT CAST(sum(line_revenue) AS DECIMAL(28,2)) AS aggregate_total FROM valid
+            UNION ALL SELECT CAST(sum(line_revenue) AS DECIMAL(28,2)) FROM valid WHERE quantity > 3)""", "valid"))
 def layer_coherence(spark: SparkSession, folder: str) -> DataFrame:
-    detail = star.valid_lines(spark, folder, ("product_id",))
-    return M.layer_coherence(detail, totals_by(detail, "product_id"))
+    """The detail against the totals of all its lines, and of a part of them."""
+    detail = star.valid_lines(spark, folder, ("product_id", "quantity"))
+    found = [M.layer_coherence(detail, totals_by(part, "product_id")) for part in (detail, detail.where("quantity > 3"))]
+    return found[0].unionByName(found[1])
 
 
 LATEST = """SELECT metric, instance, ts, value FROM samples

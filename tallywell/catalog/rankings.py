@@ -92,9 +92,13 @@ def product_ranking_wh(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("pareto_count", sql(
-    f"SELECT count(*) AS products FROM ({RANKING_WH}) WHERE cumulative_share_pct <= 80", "enriched", "product_names"))
+    f"""SELECT count(*) AS products FROM (SELECT {percent("running", "grand", 4)} AS share FROM (
+        SELECT sum(total_revenue) OVER () AS grand,
+            sum(total_revenue) OVER (ORDER BY total_revenue DESC, product_id ROWS UNBOUNDED PRECEDING) AS running
+        FROM (SELECT product_id, CAST(sum(line_revenue) AS DECIMAL(28,2)) AS total_revenue FROM enriched GROUP BY product_id)))
+    WHERE share <= 80""", "enriched"))
 def pareto_count(spark: SparkSession, folder: str) -> DataFrame:
-    return A.pareto_count(A.product_ranking_wh(enriched(spark, folder)))
+    return A.pareto_count(A.product_revenue(enriched(spark, folder)))
 
 
 @query("top_k", sql(

@@ -62,6 +62,38 @@ def read_mixed_delimiters(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_sales_csv(spark, write_by_delimiter(spark, folder)).select(*LINE)
 
 
+def write_by_header(spark: SparkSession, folder: str) -> str:
+    """One folder per return flag under one root: usual headers, another order, aliases in another order."""
+    text = raw_text(spark, folder, "l_returnflag")
+    root = new_path(spark, "headers")
+    aliases = {"Invoice": "InvoiceNo", "Price": "UnitPrice", "Customer ID": "CustomerID"}
+    for flag, columns in (("A", HEADERS), ("N", HEADERS[::-1]), ("R", (*HEADERS[3:], *HEADERS[:3]))):
+        part = text.where(F.col("l_returnflag") == flag).select(*[F.col(f"`{c}`") for c in columns])
+        write_text(part.withColumnsRenamed(aliases) if flag == "R" else part, f"{root}/{flag}", ",")
+    return root
+
+
+@query("read_mixed_headers", sql(f"SELECT {LINE_SQL} FROM sales", "sales"))
+def read_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
+    root = write_by_header(spark, folder)
+    return files.read_sales_csv(spark, [f"{root}/{flag}" for flag in "ANR"]).select(*LINE)
+
+
+@query("read_long_fields", sql(
+    "SELECT invoice_id, product_id, quantity, length(description) AS description_chars FROM (SELECT invoice_id, product_id, "
+    "quantity, repeat('LONG, ', 20000) || product_id AS description FROM sales WHERE l_orderkey % 100 = 0 AND l_returnflag <> 'A')", "sales"))
+def read_long_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Descriptions of 120,000 characters with delimiters and quotes; some lines have fields too many."""
+    text = raw_text(spark, folder, "l_returnflag", "l_orderkey").where("l_orderkey % 100 = 0").fillna("")
+    long = F.concat(F.lit('"'), F.repeat(F.lit("long, "), 20_000), F.trim("StockCode"), F.lit('"'))
+    fields = [long if h == "Description" else F.col(f"`{h}`") for h in HEADERS]
+    line = F.when(F.col("l_returnflag") == "A", F.concat_ws(",", *fields, F.lit("too"), F.lit("many"))).otherwise(F.concat_ws(",", *fields))
+    path = new_path(spark, "long.csv")
+    text.select(line.alias(",".join(HEADERS))).write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
+    read = files.read_sales_csv(spark, path)
+    return read.select("invoice_id", "product_id", "quantity", F.length("description").alias("description_chars"))
+
+
 @query(
     "infer_delimiter",
     "SELECT CASE l_returnflag WHEN 'A' THEN ';' WHEN 'N' THEN chr(9) ELSE '|' END AS delimiter, "

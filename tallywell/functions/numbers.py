@@ -11,20 +11,29 @@ def money(col: Column) -> Column:
     return F.round(col, 2).cast(MONEY)
 
 
-def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+def ratio(numerator: Column, denominator: Column, digits: int, scale: int = 2) -> Column:
     """PRJ16/17: ``numerator / denominator``, null when the denominator is null
-    or zero, rounded once from an exact decimal quotient."""
-    quotient = F.try_divide(numerator.cast("decimal(20,2)"), denominator.cast("decimal(20,2)"))
-    return F.round(quotient, digits).cast(f"decimal(22,{digits})")
+    or zero, rounded once. ``scale`` is the number of decimals of the operands."""
+    return _quotient(numerator, denominator, digits, (20, scale), (20, scale))
 
 
-def percent(part: Column, whole: Column, digits: int) -> Column:
+def percent(part: Column, whole: Column, digits: int, scale: int = 2) -> Column:
     """Share of ``whole`` in per cent, rounded once."""
-    quotient = F.try_divide(part.cast("decimal(20,2)") * 100, whole.cast("decimal(20,2)"))
-    return F.round(quotient, digits).cast(f"decimal(22,{digits})")
+    return _quotient(part, whole, digits, (20, scale), (20, scale), 100)
 
 
 def mean(total: Column, count: Column, digits: int, scale: int = 2) -> Column:
     """Mean from an exact sum and a count; ``avg`` on decimals rounds too early."""
-    quotient = F.try_divide(total.cast(f"decimal(22,{scale})"), count.cast("decimal(12,0)"))
-    return F.round(quotient, digits).cast(f"decimal(22,{digits})")
+    return _quotient(total, count, digits, (22, scale), (12, 0))
+
+
+def _quotient(top: Column, bottom: Column, digits: int, of_top: tuple, of_bottom: tuple, times: int = 1) -> Column:
+    """Decimal division. Operands beyond the usual precision are divided with eight
+    digits more each, at the cost of later digits of the quotient (10 are left)."""
+
+    def divide(top: Column, bottom: Column) -> Column:
+        return F.round(F.try_divide(top, bottom) * times, digits).cast(f"decimal(22,{digits})")
+
+    usual = [c.try_cast("decimal({},{})".format(*kind)) for c, kind in ((top, of_top), (bottom, of_bottom))]
+    wide = [c.cast(f"decimal({kind[0] + 8},{kind[1]})") for c, kind in ((top, of_top), (bottom, of_bottom))]
+    return F.when(usual[0].isNotNull() & usual[1].isNotNull(), divide(*usual)).otherwise(divide(*wide))

@@ -1,6 +1,6 @@
 """Text cleaning and permissive parsing of source values."""
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +21,13 @@ _DATE_REWRITES = (
     (r"^([0-9]{4})[/.]([0-9]{1,2})[/.]([0-9]{1,2})", "$1-$2-$3"),
     (r"^([0-9]{4})([0-9]{2})([0-9]{2})(?=$|[ T])", "$1-$2-$3"),
 )
+# Two-digit years: 69 to 99 are of the last century.
+_SHORT_YEAR = r"^([0-9]{1,2}[/.-][0-9]{1,2}[/.-])([0-9]{2})(?![0-9])"
+_MONTHS = "january february march april may june july august september october november december".split()
+_MONTH_FIRST = r"^([A-Za-z]{3,9})\.? +([0-9]{1,2}),? +([0-9]{2}.*)$"
+_DAY_FIRST = r"^([0-9]{1,2})[ -]([A-Za-z]{3,9})\.?,?[ -]([0-9]{2}.*)$"
+_TWELVE_HOURS = r"(?i)^(.*[ T])([0-9]{1,2})(:[0-9]{2}(?::[0-9.]+)?) *([ap])\.?m\.?$"
+_OFFSET = r":[0-9.]+ *(?:Z|[+-][0-9]{2}:?[0-9]{2})$"
 
 
 def strip(col: Column) -> Column:
@@ -57,12 +64,56 @@ def parse_decimal(col: Column, type_name: str) -> Column:
     return _number_text(col).try_cast(type_name)
 
 
+def _month_number(name: Column) -> Column:
+    """Number of an English month, whole or as its first three letters (or "sept"); null for other names."""
+    names = {short: str(n) for n, month in enumerate(_MONTHS, 1) for short in (month, month[:3])} | {"sept": "9"}
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in names.items() for x in pair)), F.lower(name))
+
+
+def _usual_form(text: Column) -> Column:
+    """Month names as numbers, years with four digits and hours up to 23; other text as it is."""
+    first = [F.regexp_extract(text, _MONTH_FIRST, k) for k in (1, 2, 3)]
+    second = [F.regexp_extract(text, _DAY_FIRST, k) for k in (2, 1, 3)]
+    spelled = [F.concat(_month_number(name), F.lit("/"), day, F.lit("/"), rest) for name, day, rest in (first, second)]
+    named = F.coalesce(*spelled, text)
+    return _bind(named, _long_year_and_clock)
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it stands in it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _long_year_and_clock(named: Column) -> Column:
+    century = F.when(F.regexp_extract(named, _SHORT_YEAR, 2) >= "69", F.lit("19")).otherwise(F.lit("20"))
+    dated = F.when(named.rlike(_SHORT_YEAR), F.regexp_replace(named, F.lit(_SHORT_YEAR), F.concat(F.lit("$1"), century, F.lit("$2")))).otherwise(named)
+    hour = F.regexp_extract(dated, _TWELVE_HOURS, 2).try_cast("int")
+    half = F.when(F.lower(F.regexp_extract(dated, _TWELVE_HOURS, 4)) == "p", F.lit(12)).otherwise(F.lit(0))
+    clock = F.lpad((hour % 12 + half).cast("string"), 2, "0")
+    whole = F.concat(F.regexp_extract(dated, _TWELVE_HOURS, 1), clock, F.regexp_extract(dated, _TWELVE_HOURS, 3))
+    return F.when(hour.between(1, 12), whole).otherwise(dated)
+
+
 def parse_timestamp(col: Column) -> Column:
-    """A timestamp from mixed layouts, null when none fits."""
+    """A timestamp from mixed layouts, null when none fits.
+
+    Layouts: ISO, day and month as numbers in either order (month first wins), years
+    of two digits, month names, 12-hour clocks. A time with an offset becomes UTC.
+    Casts of text in the usual layout come first, so that the others cost it nothing.
+    """
     text = strip(col.cast("string"))
-    readings = [text.try_cast("timestamp_ntz")]
-    readings += [
-        F.regexp_replace(text, pattern, layout).try_cast("timestamp_ntz")
-        for pattern, layout in _DATE_REWRITES
-    ]
-    return reduce(lambda first, later: F.coalesce(first, later), readings)
+
+    def readings(text: Column, kind: str) -> list[Column]:
+        dates = [F.regexp_replace(text, pattern, layout) for pattern, layout in _DATE_REWRITES]
+        return [t.try_cast(kind) for t in (text, *dates)]
+
+    def instant(text: Column) -> Column:
+        return F.to_utc_timestamp(F.coalesce(*readings(text, "timestamp")), F.current_timezone()).cast("timestamp_ntz")
+
+    def plain(text: Column) -> Column:
+        return F.coalesce(*readings(text, "timestamp_ntz"))
+
+    with_colon = F.regexp_replace(text, r" *([+-][0-9]{2}):?([0-9]{2})$", "$1:$2")
+    with_seconds = F.regexp_replace(with_colon, r"([ T][0-9]{1,2}:[0-9]{2}) *(?=[+-]|Z)", "$1:00")
+    usual = F.coalesce(plain(text), _bind(_usual_form(text), plain))
+    return F.when(text.rlike(_OFFSET), _bind(with_seconds, instant)).otherwise(usual)

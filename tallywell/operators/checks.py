@@ -41,13 +41,17 @@ def check_accepted_values(df: DataFrame, column: str, accepted: Sequence[str]) -
 def check_freshness(
     df: DataFrame, as_of: datetime, date: str = "sale_date", warn_hours: int = 26, error_hours: int = 72
 ) -> DataFrame:
-    """CK4: age of the latest date and its status, one row."""
+    """CK4: age of the latest date in whole hours and its status, one row.
+
+    The status compares seconds, so a part of an hour over a limit counts.
+    """
     latest = df.agg(F.max(date).alias("latest"))
-    age = F.timestamp_diff("HOUR", F.col("latest").cast("timestamp_ntz"), F.lit(as_of).cast("timestamp_ntz"))
-    return latest.withColumn("age_hours", age).withColumn(
+    ends = F.col("latest").cast("timestamp_ntz"), F.lit(as_of).cast("timestamp_ntz")
+    seconds = F.timestamp_diff("SECOND", *ends)
+    return latest.withColumn("age_hours", F.timestamp_diff("HOUR", *ends)).withColumn(
         "status",
-        F.when(F.col("latest").isNull() | (F.col("age_hours") > error_hours), "error")
-        .when(F.col("age_hours") > warn_hours, "warn")
+        F.when(F.col("latest").isNull() | (seconds > 3600 * error_hours), "error")
+        .when(seconds > 3600 * warn_hours, "warn")
         .otherwise("pass"),
     )
 
@@ -187,6 +191,15 @@ def run_checks(checks: Sequence[Check], path: str | None = None) -> list[dict]:
     return results
 
 
+# The columns of the published tables that must not repeat.
+UNIQUE_KEYS = {
+    "daily_summary": (("sale_date",),),
+    "product_ranking": (("position",), ("product_id",)),
+    "country_sales": (("country",),),
+    "product_date_revenue": (("sale_date", "product_id"),),
+}
+
+
 def published_checks(enriched: DataFrame, published: dict[str, DataFrame]) -> list[Check]:
     """The data tests of the warehouse over its layers."""
     not_null = {
@@ -198,12 +211,6 @@ def published_checks(enriched: DataFrame, published: dict[str, DataFrame]) -> li
         "product_ranking": ("position", "product_id", "share_pct", "cumulative_share_pct"),
         "country_sales": ("country", "total_revenue"),
     }
-    unique = {
-        "daily_summary": (("sale_date",),),
-        "product_ranking": (("position",), ("product_id",)),
-        "country_sales": (("country",),),
-        "product_date_revenue": (("sale_date", "product_id"),),
-    }
     accepted = {
         ("enriched", "amount_segment"): S.AMOUNT_SEGMENTS,
         ("enriched", "volume_segment"): S.VOLUME_SEGMENTS,
@@ -218,7 +225,7 @@ def published_checks(enriched: DataFrame, published: dict[str, DataFrame]) -> li
     ]
     checks += [
         Check(f"unique_{t}_{'_'.join(k)}", lambda t=t, k=k: check_unique(frames[t], *k))
-        for t, key_sets in unique.items()
+        for t, key_sets in UNIQUE_KEYS.items()
         for k in key_sets
     ]
     checks += [

@@ -3,81 +3,28 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.session import materialize
 
-# A list of repeated keys is sent to every executor only while it is this short
-# and its text this small.
-BROADCAST_KEYS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with more copies than this is hot and its rows are spread over tasks.
-HOT_COPIES = 1_000_000
-
-
-def flag_duplicates(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: str,
-    flag: str = "is_duplicate",
-    broadcast_keys: int = BROADCAST_KEYS,
-    hot_copies: int = HOT_COPIES,
-) -> DataFrame:
+def flag_duplicates(df: DataFrame, keys: Sequence[str], order_by: str, flag: str = "is_duplicate") -> DataFrame:
     """Mark every copy of a row but the first; null keys are equal.
 
     ``order_by`` is a column that orders the rows of one key (it may be a struct).
 
-    A first pass shuffles nothing but a hash of the key, counted before and after
-    the shuffle, so a third of all rows being copies of one line is one row per
-    task. Rows whose hash never repeats are no duplicates; the others are compared
-    by their true keys. Few repeated hashes are broadcast and the detail is never
-    shuffled. With many, the rows are numbered within their key, except those of
-    hot keys: their first copy is known from a broadcast, of ``broadcast_keys``
-    keys by choice of the limit, and their rows are spread.
-    """
-    hashed = df.withColumn("key_hash", F.xxhash64(*keys))
-    repeated = hashed.groupBy("key_hash").agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
-    repeated = materialize(repeated, "repeated_keys")
-    size = repeated.agg(
-        F.count("*").alias("keys"), F.sum("copies").alias("rows"), F.max("copies").alias("most")
-    ).first()
-    if size["keys"] == 0:
-        return df.withColumn(flag, F.lit(False))
-
-    later_copy = F.coalesce(F.col(order_by) > F.col("first_copy"), F.lit(False))
-    if size["keys"] <= broadcast_keys:
-        known = _with_first_copy(hashed, repeated, keys, order_by)
-        return known.withColumn(flag, later_copy).select(*df.columns, flag)
-
-    limit = max(hot_copies, size["rows"] // max(broadcast_keys, 1))
-    if size["most"] <= limit:
-        in_key = Window.partitionBy(*keys).orderBy(order_by)
-        return df.withColumn(flag, F.row_number().over(in_key) > 1)
-
-    known = _with_first_copy(hashed, repeated.where(F.col("copies") > limit), keys, order_by)
-    tasks = F.ceil(F.col("copies") / F.lit(limit))
-    known = known.withColumn("spread", F.coalesce(F.pmod(F.xxhash64(order_by), tasks), F.lit(0)))
-    in_key = Window.partitionBy(*keys, "spread").orderBy(order_by)
-    numbered = known.withColumn("number", F.row_number().over(in_key))
-    return numbered.withColumn(
-        flag, F.when(F.col("copies").isNotNull(), later_copy).otherwise(F.col("number") > 1)
-    ).select(*df.columns, flag)
-
-
-def _with_first_copy(hashed: DataFrame, listed: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """Add the number of copies and the first one to the rows of the listed hashes.
-
-    The hashes are few and eight bytes each; the keys they stand for are broadcast
-    too unless their text is large.
+    The keys are counted with their first copy, combined before the shuffle, so that a
+    key which a third of all rows have is one row per task. Only repeated keys stay, and
+    every row is compared with the first copy of its key. How the two meet is left to
+    the optimizer: the rows of a hot key are on the side that adaptive execution may
+    split, while its single first copy is repeated for each part.
     """
-    candidates = hashed.join(F.broadcast(listed.select("key_hash")), "key_hash", "left_semi")
-    firsts = candidates.groupBy(*[F.col(k).alias(f"k_{k}") for k in keys]).agg(
-        F.count("*").alias("copies"), F.min(order_by).alias("first_copy")
+    named = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    firsts = (
+        df.groupBy(*[F.col(k).alias(n) for k, n in named.items()])
+        .agg(F.count("*").alias("_copies"), F.min(order_by).alias("_first"))
+        .where(F.col("_copies") > 1)
+        .drop("_copies")
     )
-    firsts = materialize(firsts.where(F.col("copies") > 1), "first_copies")
-    text = F.octet_length(F.concat_ws("", *[F.col(f"k_{k}").cast("string") for k in keys]))
-    if (firsts.agg(F.sum(text)).first()[0] or 0) <= BROADCAST_BYTES:
-        firsts = F.broadcast(firsts)
-    matches = [hashed[k].eqNullSafe(firsts[f"k_{k}"]) for k in keys]
-    return hashed.join(firsts, reduce(lambda a, b: a & b, matches), "left")
+    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in named.items()])
+    later_copy = F.coalesce(F.col(order_by) > F.col("_first"), F.lit(False))
+    return df.join(firsts, same_key, "left").withColumn(flag, later_copy).select(*df.columns, flag)

@@ -112,14 +112,16 @@ def top_metrics(samples: DataFrame, by: Sequence[str], k: int) -> DataFrame:
 
 
 def absent_series(expected: DataFrame, samples: DataFrame, by: Sequence[str]) -> DataFrame:
-    """MN10/JN9: expected series without any sample."""
-    return expected.join(samples.select(*by).distinct(), list(by), "left_anti")
+    """MN10/JN9: expected series without any sample; a missing label is a value of its own."""
+    seen = samples.select(*[F.col(c).alias(f"_seen_{c}") for c in by]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_seen_{c}")) for c in by]
+    return expected.join(seen, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def match_scalar_series(many: DataFrame, one: DataFrame, by: Sequence[str], limit: str = CONNECTION_SHARE_ALERT) -> DataFrame:
     """JN7: each series over the single series of the same instant, above a limit."""
     whole = one.select("ts", F.col("value").alias("whole"))
-    share = N.ratio(F.col("value"), F.col("whole"), 4)
+    share = N.ratio(F.col("value"), F.col("whole"), 4, scale=4)
     return (
         many.join(whole, "ts")
         .select(*by, "ts", "value", "whole", share.alias("share"))
@@ -134,7 +136,7 @@ def stage_survival(samples: DataFrame, label: str, part: str, whole: str, by: Se
         F.max(F.when(F.col(label) == part, F.col("value"))).alias("part_value"),
         F.max(F.when(F.col(label) == whole, F.col("value"))).alias("whole_value"),
     )
-    return sides.withColumn("share", N.ratio(F.col("part_value"), F.col("whole_value"), 4)).where(
+    return sides.withColumn("share", N.ratio(F.col("part_value"), F.col("whole_value"), 4, scale=4)).where(
         F.col("share").isNotNull()
     )
 

@@ -8,9 +8,6 @@ from tallywell.operators.revenue import modal_value, product_totals
 from tallywell.schema import MONTHLY_RANKING_SIZE, PUBLISHED_RANKING_SIZE, TOTAL
 from tallywell.session import materialize
 
-# A list of this many product codes is small enough for every executor.
-BROADCAST_LEADERS = 10_000
-
 
 def _by_revenue(key: str):
     return F.desc("total_revenue"), F.asc(key)
@@ -72,28 +69,24 @@ def month_totals(detail: DataFrame) -> DataFrame:
 def monthly_ranking(detail: DataFrame, n: int = MONTHLY_RANKING_SIZE, ordered: bool = True) -> DataFrame:
     """WN1: top n products of every month with their share of the month.
 
-    The rank filter sits directly above the rank, so each task passes on at most
-    n rows per month. The leaders, n rows per calendar month, are written out,
-    and only they get a description and the total of their month.
+    The measures, a row per month and product, are written out: the rank and the
+    totals of the months come from them. The rank filter sits directly above the rank,
+    so each task passes on at most n rows per month. Only the leaders' lines are read
+    again, for a description. Writing is done while the frame is built.
     """
+    measures = materialize(_month_product_measures(detail), "month_measures")
     in_month = Window.partitionBy("month_start").orderBy(*_by_revenue("product_id"))
-    leaders = (
-        _month_product_measures(detail)
-        .withColumn("position", F.row_number().over(in_month))
-        .where(F.col("position") <= n)
-    )
+    leaders = measures.withColumn("position", F.row_number().over(in_month)).where(F.col("position") <= n)
     leaders = materialize(leaders, "month_leaders")
     keys = leaders.select(F.col("month_start").alias("m"), F.col("product_id").alias("p"))
-    if n <= BROADCAST_LEADERS // 100:
-        keys = F.broadcast(keys)
     is_leader = F.col("month_start").eqNullSafe(F.col("m")) & F.col("product_id").eqNullSafe(F.col("p"))
     names = _month_product_names(_with_month(detail).join(keys, is_leader, "left_semi"))
     names = names.withColumnsRenamed({"month_start": "m", "product_id": "p"})
-    totals = month_totals(detail).withColumnRenamed("year_month", "total_month")
+    totals = measures.groupBy(F.col("month_start").alias("total_month")).agg(F.sum("total_revenue").cast(TOTAL).alias("month_revenue"))
     ranking = (
         leaders.join(names, is_leader, "left")
+        .join(totals, F.col("month_start").eqNullSafe(F.col("total_month")), "left")
         .withColumn("year_month", _year_month())
-        .join(totals, F.col("year_month").eqNullSafe(F.col("total_month")), "left")
         .select(
             "year_month",
             "position",
@@ -130,6 +123,11 @@ def product_ranking(aggregate: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
+def product_revenue(enriched: DataFrame) -> DataFrame:
+    """The revenue of every product."""
+    return enriched.groupBy("product_id").agg(F.sum("line_revenue").cast(TOTAL).alias("total_revenue"))
+
+
 def product_totals_wh(enriched: DataFrame) -> DataFrame:
     """AG7: whole-period measures per product from the enriched detail."""
     return enriched.groupBy("product_id").agg(
@@ -146,23 +144,36 @@ def product_totals_wh(enriched: DataFrame) -> DataFrame:
     )
 
 
+_LEADER_COLUMNS = (
+    "product_id",
+    "description",
+    "line_revenue",
+    "quantity",
+    "invoice_id",
+    "sale_date",
+    "customer_id",
+    "country",
+    "unit_price",
+    "is_admin_concept",
+)
+
+
 def product_ranking_wh(enriched: DataFrame, n: int = PUBLISHED_RANKING_SIZE) -> DataFrame:
     """WN8/WN9: published ranking; the cumulative share is the running revenue
     over the grand total, rounded once.
 
-    The leaders are found on revenue alone and written out, n rows at most. Only
-    their lines are read again for the distinct counts and the modal description.
+    The revenue of every product is written out; the leaders and the grand total come
+    from it. The leaders' lines are written out in turn, with the columns that the
+    distinct counts and the modal description need. Both are done while the frame is built.
     """
-    revenue = enriched.groupBy("product_id").agg(F.sum("line_revenue").cast(TOTAL).alias("total_revenue"))
+    revenue = materialize(product_revenue(enriched), "product_revenue")
     leaders = top_k(revenue, n, "total_revenue", "product_id").select(F.col("product_id").alias("leader"))
-    leaders = materialize(leaders, "leaders")
-    if n <= BROADCAST_LEADERS:
-        leaders = F.broadcast(leaders)
     is_leader = F.col("product_id").eqNullSafe(F.col("leader"))
-    lines = enriched.join(leaders, is_leader, "left_semi")
+    lines = enriched.join(materialize(leaders, "leaders"), is_leader, "left_semi")
+    lines = materialize(lines.select(*_LEADER_COLUMNS), "leader_lines")
     totals = product_totals_wh(lines)
     names = modal_value(lines, ["product_id"], "description", "product_description")
-    grand_total = enriched.agg(F.sum("line_revenue")).scalar()
+    grand_total = revenue.agg(F.sum("total_revenue")).scalar()
     in_order = Window.orderBy(*_by_revenue("product_id"))
     running = F.sum("total_revenue").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     return (
@@ -193,6 +204,21 @@ def product_ranking_wh(enriched: DataFrame, n: int = PUBLISHED_RANKING_SIZE) ->
     )
 
 
-def pareto_count(ranking: DataFrame, share: int = 80) -> DataFrame:
-    """ST4: how many ranked products stay within a cumulative share."""
-    return ranking.where(F.col("cumulative_share_pct") <= share).agg(F.count("*").alias("products"))
+def pareto_count(totals: DataFrame, share: int = 80) -> DataFrame:
+    """ST4: how many products, by falling revenue, stay within a cumulative share.
+
+    ``totals`` has a row per product with ``total_revenue``. Products are dealt out by
+    ranges of revenue and written; a task adds up its range, and the sums of the ranges
+    before, one number each, are added to it.
+    """
+    order = _by_revenue("product_id")
+    ranges = totals.select("product_id", "total_revenue").repartitionByRange(*order)
+    ranges = materialize(ranges.withColumn("part", F.spark_partition_id()), "revenue_ranges")
+    sums = ranges.groupBy("part").agg(F.sum("total_revenue").alias("of_part"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("part", F.coalesce(F.sum("of_part").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    running = ranges.withColumn("running", F.sum("total_revenue").over(inside)).join(sums, "part")
+    grand_total = ranges.agg(F.sum("total_revenue")).scalar()
+    within = N.percent(F.col("running") + F.col("before"), grand_total, 4) <= share
+    return running.where(within).agg(F.count("*").alias("products"))

@@ -9,7 +9,7 @@ from tallywell.operators.rankings import monthly_ranking
 from tallywell.operators.trends import daily_trend
 from tallywell.schema import MONTHLY_RANKING_SIZE
 from tallywell.sinks.files import write_small_parquet
-from tallywell.sinks.warehouse import build_layers
+from tallywell.sinks.warehouse import build_layers, enriched_view
 from tallywell.sources.files import read_detail
 
 
@@ -48,4 +48,4 @@ def build_warehouse(
     """Build the published tables, then run every data test over them."""
     loaded = build_layers(spark, source_table, database, location)
     published = {name: spark.table(f"{database}.{name}") for name in loaded}
-    return loaded, run_checks(published_checks(spark.table("enriched_sales"), published), failures_path)
+    return loaded, run_checks(published_checks(spark.table(enriched_view(database)), published), failures_path)

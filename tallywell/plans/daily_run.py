@@ -1,5 +1,6 @@
 """The daily job: read, check, transform, verify, publish, report."""
 
+import logging
 import time
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterator
@@ -26,6 +27,8 @@ from tallywell.sources.files import input_format, read_sales
 
 EXIT_OK, EXIT_DATA_PROBLEM, EXIT_UNEXPECTED = 0, 1, 2
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class _Stages:
@@ -196,9 +199,11 @@ def exit_code(spark: SparkSession, source: str, destination: str, **options) ->
     try:
         run(spark, source, destination, **options)
         return EXIT_OK
-    except (IngestError, QualityError):
+    except (IngestError, QualityError) as error:
+        log.error("the run over %s stopped: %s", source, error)
         code = EXIT_DATA_PROBLEM
     except Exception:
+        log.exception("the run over %s failed", source)
         code = EXIT_UNEXPECTED
     now = datetime.now(UTC)
     failed = [M.metric_row(M.M_SUCCESS, 0)]

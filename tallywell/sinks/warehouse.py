@@ -1,11 +1,15 @@
 """Warehouse tables: full-replace loads and layer materialisation."""
 
 import logging
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallywell.errors import LoadError
+from tallywell.operators.checks import UNIQUE_KEYS, check_unique
 from tallywell.plans.layers import PUBLISHED, enrich_sales, prepare_sales
 from tallywell.session import materialize
 
@@ -33,32 +37,63 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
         raise LoadError(f"could not create the database {name}: {error}") from error
 
 
-def replace_table(df: DataFrame, table: str) -> LoadResult:
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can reach it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def replace_table(df: DataFrame, table: str, unique: Sequence[tuple[str, ...]] = ()) -> LoadResult:
     """SK7: replace the whole content of a table.
 
-    The new rows are written out before the table is touched, so a failed
-    computation leaves it as it was and a frame that reads the table can replace
-    it. With the same columns the table object stays and views on it remain
-    valid; with others it is dropped and made anew. An empty input is skipped.
+    The new rows are written once, to a new folder beside the table's, and only then is
+    the table pointed at them: a load that fails in any way leaves the table as it was,
+    and a frame that reads the table can replace it. With the same columns the table
+    object stays, views on it remain valid and values are cast to its types, so that one
+    that doesn't fit fails the load; with others it is made anew. ``unique`` names sets
+    of columns that must not repeat (SK12), which is checked before the switch. An empty
+    input is skipped. The rows replaced are deleted.
     """
     spark = df.sparkSession
+    database, _, name = table.rpartition(".")
+    database = database or spark.catalog.currentDatabase()
+    path = ""
     try:
-        ready = materialize(df, "load")
-        rows = ready.count()
+        known = spark.table(table).schema if spark.catalog.tableExists(table) else None
+        same = known is not None and set(known.names) == set(df.columns)
+        if same:
+            df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in known])
+        path = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        written = spark.read.schema(df.schema).parquet(path)
+        rows = written.count()
+        repeated = [k for k in unique if rows and not check_unique(written, *k).isEmpty()]
+        if repeated:
+            raise LoadError(f"{repeated} repeat")
         if rows == 0:
+            _remove(spark, path)
             return LoadResult(table, 0, SKIPPED)
-        if not spark.catalog.tableExists(table):
-            ready.write.format("parquet").saveAsTable(table)
-            return LoadResult(table, rows, CREATED)
-        columns = spark.table(table).columns
-        if set(columns) == set(ready.columns):
-            ready.select(*columns).write.insertInto(table, overwrite=True)
-            return LoadResult(table, rows, RELOADED)
-        log.warning("columns of %s changed, it is made anew; build the layers again", table)
-        ready.write.mode("overwrite").format("parquet").saveAsTable(table)
-        return LoadResult(table, rows, RECREATED)
+        old = _location(spark, table) if known is not None else None
+        if same:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+        else:
+            if old:
+                log.warning("columns of %s changed, it is made anew; build the layers again", table)
+                spark.sql(f"DROP TABLE {table}")
+            spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
     except Exception as error:
+        if path:
+            _remove(spark, path)
         raise LoadError(f"could not load the table {table}: {error}") from error
+    if old:
+        _remove(spark, old)
+    return LoadResult(table, rows, RELOADED if same else RECREATED if old else CREATED)
 
 
 def load_results(
@@ -76,10 +111,19 @@ def load_results(
 def build_layers(
     spark: SparkSession, source_table: str, database: str = "published", location: str | None = None
 ) -> dict[str, LoadResult]:
-    """SK10: views of the prepared and enriched detail, published tables on top."""
-    prepared = prepare_sales(spark.table(source_table))
-    prepared.createOrReplaceTempView("prepared_sales")
-    enriched = enrich_sales(prepared)
-    enriched.createOrReplaceTempView("enriched_sales")
+    """SK10: the enriched detail, written once, and the published tables made from it.
+
+    The detail is the temporary view ``enriched_view(database)``. A published table
+    with repeated keys is not shown.
+    """
+    enriched = materialize(enrich_sales(prepare_sales(spark.table(source_table))), "enriched_sales")
+    enriched.createOrReplaceTempView(enriched_view(database))
     ensure_database(spark, database, location)
-    return {name: replace_table(build(enriched), f"{database}.{name}") for name, build in PUBLISHED.items()}
+    return {
+        name: replace_table(build(enriched), f"{database}.{name}", UNIQUE_KEYS.get(name, ())) for name, build in PUBLISHED.items()
+    }
+
+
+def enriched_view(database: str) -> str:
+    """Name of the view of the enriched detail behind a database."""
+    return f"enriched_sales_{database}"

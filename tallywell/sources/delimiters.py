@@ -1,74 +1,49 @@
-"""Delimiter of each text file, from the head of the file."""
+"""Delimiter and header of each text file, from all of its lines."""
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The delimiters tried, in order of preference, and the sample size.
+# The delimiters tried, in order of preference.
 CANDIDATES = (",", ";", "\t", "|")
-HEAD_BYTES = 65_536
-
-
-def _head_lines(head_bytes: int):
-    """Task helper: the lines of the first bytes of each listed file."""
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from urllib.parse import quote
 
-        from pyarrow import fs
+#: A quoted field. A doubled quote closes and opens it; the loop gives nothing back, so
+#: fields of any length need no stack.
+QUOTED = r'"[^"]*+"'
 
-        for batch in batches:
-            for path in batch["path"]:
-                uri = quote(path.replace("s3a://", "s3://", 1), safe="/:@")
-                filesystem, location = fs.FileSystem.from_uri(uri)
-                with filesystem.open_input_stream(location) as stream:
-                    head = stream.read(head_bytes + 1)
-                lines = head[:head_bytes].decode("utf-8", errors="replace").splitlines()
-                if len(head) > head_bytes and len(lines) > 1:
-                    lines = lines[:-1]  # the last line of the head is cut
-                yield pd.DataFrame({"path": path, "line": range(len(lines)), "text": lines})
 
-    return read
+def separators(line: Column | str, delimiter: str) -> Column:
+    """How often a delimiter stands in a line outside quotes."""
+    unquoted = F.regexp_replace(line, QUOTED, "")
+    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(delimiter), F.lit("")))
 
 
-def infer_delimiter(spark: SparkSession, path: str | list[str], head_bytes: int = HEAD_BYTES) -> DataFrame:
-    """SRC3: one row per file with its delimiter.
+def scan_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """SRC3: ``path, delimiter, header`` of each file with a line that isn't blank.
 
-    Files are listed and sampled by the executors, and only the head of each is
-    read. A delimiter scores one point per line on which it occurs as often as
-    in the header. Without any point the most frequent one of the header wins,
-    and the comma when there is none.
+    A delimiter scores one point per line on which it occurs as often as in the
+    header, the first such line. Without any point the most frequent one of the header
+    wins, and the comma when there is none. Points are added up in the tasks that
+    scan the lines.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        .where(F.col("length") > 0)
-        .select("path")
-    )
-    lines = files.mapInPandas(_head_lines(head_bytes), "path string, line int, text string")
-    unquoted = F.regexp_replace("text", r'"([^"]|"")*"', "")
-    counts = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("preference"),
-                F.lit(c).alias("delimiter"),
-                (F.length(unquoted) - F.length(F.replace(unquoted, F.lit(c), F.lit("")))).alias("times"),
-            )
-            for i, c in enumerate(CANDIDATES)
-        ]
-    )
-    per_line = lines.where(F.trim("text") != "").select("path", "line", F.inline(counts))
-    per_file = Window.partitionBy("path", "delimiter")
-    scored = (
-        per_line.withColumn("header_times", F.first("times").over(per_file.orderBy("line")))
-        .groupBy("path", "preference", "delimiter")
-        .agg(
-            F.max("header_times").alias("header_times"),
-            F.count_if((F.col("times") == F.col("header_times")) & (F.col("times") > 0)).alias("points"),
-        )
-    )
-    best = F.max_by(
-        "delimiter", F.struct("points", "header_times", (-F.col("preference")).alias("first"))
-    )
-    return scored.groupBy("path").agg(best.alias("delimiter"))
+    text = spark.read.option("recursiveFileLookup", "true").text(path)
+    place = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"))
+    # the scan names files as URIs
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path")
+    lines = text.select("value", file, place.alias("place")).where(F.trim("value") != "")
+    headers = lines.groupBy("path").agg(F.min_by("value", "place").alias("header"))
+
+    times = [separators("value", c) for c in CANDIDATES]
+    in_header = [separators("header", c) for c in CANDIDATES]
+    points = [F.count_if((n == h) & (n > 0)).alias(f"points_{i}") for i, (n, h) in enumerate(zip(times, in_header))]
+    scored = lines.drop("place").join(headers.withColumnRenamed("path", "of"), F.col("path") == F.col("of"))
+    scored = scored.groupBy("path").agg(F.first("header").alias("header"), *points)
+    ranked = [
+        F.struct(F.col(f"points_{i}").alias("points"), in_header[i].alias("times"), F.lit(-i).alias("first"), F.lit(c).alias("delimiter"))
+        for i, c in enumerate(CANDIDATES)
+    ]
+    return scored.select("path", F.greatest(*ranked)["delimiter"].alias("delimiter"), "header")
+
+
+def infer_delimiter(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """SRC3: one row per file with its delimiter."""
+    return scan_headers(spark, path).select("path", "delimiter")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallywell import schema as S
 from tallywell.errors import IngestError
-from tallywell.sources.delimiters import infer_delimiter
+from tallywell.sources.delimiters import scan_headers, separators
 from tallywell.sources.typing import coerce_types, rename_columns, require_columns
 
 # Name of the column with the text of a line whose number of fields is not the header's.
@@ -27,11 +27,8 @@ def drop_overlong_rows(raw: DataFrame, delimiter: str) -> DataFrame:
     """
     fields = [c for c in raw.columns if c not in (BAD_LINE, "ordinal")]
     touched = F.coalesce(F.length(F.col(f"`{fields[0]}`")), F.lit(0)) >= 0
-    outside_quotes = F.regexp_replace(BAD_LINE, r'"([^"]|"")*"', "")
-    separators = F.length(outside_quotes) - F.length(
-        F.replace(outside_quotes, F.lit(delimiter), F.lit(""))
-    )
-    return raw.where(touched & (F.col(BAD_LINE).isNull() | (separators < len(fields)))).drop(BAD_LINE)
+    found = separators(BAD_LINE, delimiter)
+    return raw.where(touched & (F.col(BAD_LINE).isNull() | (found < len(fields)))).drop(BAD_LINE)
 
 
 def read_csv_raw(
@@ -107,23 +104,21 @@ def read_sales_csv(
 ) -> DataFrame:
     """SRC1: typed invoice lines from delimited text.
 
-    Without a ``delimiter`` it is inferred per file, and the files of each of
-    the few delimiters are scanned together. Only mixed files bring their names
-    to the driver, which lists them for any scan.
+    Without a ``delimiter`` it is inferred per file from a scan of the text. Files are
+    read together where delimiter and header agree, each group under its own header, and
+    the groups are united by name; a header without the required columns is an error.
+    The driver gets a line per file, as it does for any listing.
     """
-    if delimiter is not None:
-        by_delimiter = {delimiter: path}
-    else:
-        found = infer_delimiter(spark, path)
-        kinds = [r["delimiter"] for r in found.select("delimiter").distinct().collect()]
-        if len(kinds) <= 1:
-            by_delimiter = {(kinds or [","])[0]: path}
-        else:
-            listed = found.groupBy("delimiter").agg(F.sort_array(F.collect_list("path")).alias("files"))
-            by_delimiter = {r["delimiter"]: r["files"] for r in listed.collect()}
+    sep = F.lit(delimiter).alias("delimiter") if delimiter is not None else F.col("delimiter")
+    found = scan_headers(spark, path).select("path", sep, "header").orderBy("path").collect()
+    groups: dict[tuple[str, str], list[str]] = {}
+    for row in found:
+        groups.setdefault((row["delimiter"], row["header"]), []).append(row["path"])
+    if len(groups) <= 1:
+        groups = {next(iter(groups), (delimiter or ",", "")): path}
     parts = []
-    for sep, files in by_delimiter.items():
-        raw = read_csv_raw(spark, files, sep, null_tokens, multi_line, with_ordinal)
+    for (sep, _), paths in groups.items():
+        raw = read_csv_raw(spark, paths, sep, null_tokens, multi_line, with_ordinal)
         parts.append(coerce_types(require_columns(rename_columns(raw))))
     return union_inputs(parts)
 
@@ -143,15 +138,18 @@ def read_sales(
     max_rows: int | None = None,
     **options,
 ) -> DataFrame:
-    """SRC6: choose the reader by extension; every failure is an ``IngestError``."""
+    """SRC6: choose the reader by extension; every failure is an ``IngestError``.
+
+    ``max_rows`` keeps the first rows of the input.
+    """
     chosen = input_format(path, file_format)
     try:
-        if chosen == "csv":
-            sales = read_sales_csv(spark, path, **options)
-        else:
-            sales = read_sales_parquet(spark, path, **options)
+        ordered = options.pop("with_ordinal", False)
+        read = read_sales_csv if chosen == "csv" else read_sales_parquet
+        sales = read(spark, path, with_ordinal=ordered or max_rows is not None, **options)
         if max_rows is not None:
-            sales = limit_rows(sales, max_rows)
+            sales = limit_rows(sales, max_rows, "ordinal")
+            sales = sales if ordered else sales.drop("ordinal")
         empty = sales.isEmpty()
     except IngestError:
         raise

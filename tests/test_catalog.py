@@ -24,6 +24,6 @@ def test_query_equals_its_sql(spark, tables, name):
 
 
 def test_entry(spark):
-    assert set(ORACLES) == set(QUERIES) == set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(ORACLES) == set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
     df = entry_points.entry(spark)
     assert df.columns[:3] == ["sale_date", "product_id", "total_revenue"] and df.count() > 0

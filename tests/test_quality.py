@@ -78,32 +78,34 @@ def _copies(spark, hot):
     return spark.createDataFrame(rows, "a string, b int, n int").repartition(6)
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_keys": 0}, {"broadcast_keys": 5, "hot_copies": 100}])
-def test_duplicates_by_every_path(spark, options):
-    """Short list, long list, and long list with a hot key spread over tasks."""
-    df = _copies(spark, 5000)
-    flagged = flag_duplicates(df, ["a", "b"], "n", **options)
+@pytest.mark.parametrize("hot", [70, 5000])
+def test_duplicates_with_a_hot_key(spark, hot):
+    """A third and nearly all of the rows are copies of one key."""
+    df = _copies(spark, hot)
+    flagged = flag_duplicates(df, ["a", "b"], "n")
     assert flagged.columns == [*df.columns, "is_duplicate"]
     assert flagged.count() == df.count()
-    assert flagged.where("is_duplicate").count() == 4999 + 50 + 2
+    assert flagged.where("is_duplicate").count() == hot - 1 + 50 + 2
     assert flagged.where("is_duplicate != (n > 0)").count() == 0
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_keys": 0, "hot_copies": 10}, {"broadcast_keys": 1, "hot_copies": 2}])
-def test_keys_of_equal_hash_stay_apart(spark, options):
+def test_keys_of_equal_hash_stay_apart(spark):
     """A null leaves the hash unchanged, so these two keys share theirs."""
     rows = [(None, "x", n) for n in range(5)] + [("x", None, n) for n in range(5, 6)]
     df = spark.createDataFrame(rows, "a string, b string, n int")
     assert df.selectExpr("xxhash64(a, b) h").distinct().count() == 1
-    flagged = flag_duplicates(df, ["a", "b"], "n", **options)
+    flagged = flag_duplicates(df, ["a", "b"], "n")
     assert sorted(r.n for r in flagged.where("is_duplicate").collect()) == [1, 2, 3, 4]
 
 
-def test_no_duplicates_needs_no_join(spark):
-    df = spark.range(100).withColumn("b", F.lit(1))
-    flagged = flag_duplicates(df, ["id", "b"], "id")
-    assert "Join" not in flagged._jdf.queryExecution().toString()
-    assert flagged.where("is_duplicate").count() == 0
+def test_the_plan_is_the_same_at_every_size(spark):
+    def nodes(rows):
+        df = spark.createDataFrame([(n % 7, 1, n) for n in range(rows)], "a int, b int, n int")
+        plan = flag_duplicates(df, ["a", "b"], "n")._jdf.queryExecution().optimizedPlan().toString()
+        return [line.strip(" +-:").split(" ")[0] for line in plan.splitlines()]
+
+    assert nodes(5) == nodes(20_000)
+
 
 
 def test_verify_aggregate(spark):

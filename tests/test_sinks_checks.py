@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -90,6 +90,33 @@ def test_failed_load_leaves_the_table(spark, tmp_path):
     assert spark.table("safe.t").count() == 1
 
 
+def test_a_load_that_overflows_leaves_the_old_rows(spark, tmp_path):
+    W.ensure_database(spark, "kept", str(tmp_path / "db"))
+    W.replace_table(spark.sql("select cast(id as int) a from range(5)"), "kept.t")
+    with pytest.raises(LoadError):
+        W.replace_table(spark.sql("select id + 3000000000 a from range(9)"), "kept.t")
+    assert sorted(r.a for r in spark.table("kept.t").collect()) == [0, 1, 2, 3, 4]
+    assert W.replace_table(spark.sql("select id a from range(2)"), "kept.t").mode == W.RELOADED
+    assert spark.table("kept.t").dtypes == [("a", "int")] and len(list((tmp_path / "db").iterdir())) == 1
+
+
+def test_repeated_keys_are_not_published(spark, tmp_path):
+    W.ensure_database(spark, "once", str(tmp_path / "db"))
+    W.replace_table(spark.sql("select 1 a"), "once.t", [("a",)])
+    with pytest.raises(LoadError):
+        W.replace_table(spark.sql("select 2 a union all select 2"), "once.t", [("a",)])
+    assert [r.a for r in spark.table("once.t").collect()] == [1]
+
+
+def test_freshness_counts_parts_of_hours(spark):
+    df = spark.sql("select timestamp_ntz '2011-12-09 12:00:00' sale_date")
+    ages = {(26, 0): "pass", (26, 30): "warn", (72, 0): "warn", (72, 30): "error"}
+    for (hours, minutes), status in ages.items():
+        now = datetime(2011, 12, 9, 12) + timedelta(hours=hours, minutes=minutes)
+        row = C.check_freshness(df, now).first()
+        assert (row.age_hours, row.status) == (hours, status)
+
+
 def test_reconciliations(spark):
     detail = priced(spark)
     aggregate = revenue_by_product_date(detail)

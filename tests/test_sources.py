@@ -12,6 +12,7 @@ from tallywell.sources.typing import coerce_types, column_names, normalize_name,
 
 def put(tmp_path, name, text, encoding="utf-8"):
     path = tmp_path / name
+    path.parent.mkdir(parents=True, exist_ok=True)
     path.write_bytes(text if isinstance(text, bytes) else text.encode(encoding))
     return str(path)
 
@@ -51,9 +52,33 @@ def test_file_names_with_blanks_and_signs(spark, tmp_path):
     assert files.read_sales_csv(spark, paths).count() == 5
 
 
-def test_only_the_head_of_a_file_decides(spark, tmp_path):
-    text = csv_text(RAW, ";") + "x,y,z,w\n" * 5000
-    assert infer_delimiter(spark, put(tmp_path, "a.csv", text), head_bytes=200).first().delimiter == ";"
+def test_all_lines_of_a_file_decide(spark, tmp_path):
+    text = "a;b,c\n" + "x;y\n" * 3 + "p,q\n" * 20_000
+    assert infer_delimiter(spark, put(tmp_path, "a.csv", text)).first().delimiter == ","
+
+
+def test_headers_in_another_order_are_read_by_name(spark, tmp_path):
+    put(tmp_path, "in/a.csv", "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n1,22086,A,6,2010-01-02 03:04,2.50,7,UK\n")
+    put(tmp_path, "in/b.csv", "StockCode;Invoice;Description;Price;InvoiceDate;Quantity;Customer ID;Country\n22087;2;B;4.00;2010-01-02 03:04;7;8;UK\n")
+    put(tmp_path, "in/c.csv", "StockCode,Invoice,Description,Price,InvoiceDate,Quantity,Customer ID,Country\n22088,3,C,4.00,2010-01-02 03:04,9,8,UK\n")
+    rows = sorted(tuple(r) for r in files.read_sales_csv(spark, str(tmp_path / "in")).select("invoice_id", "product_id", "quantity").collect())
+    assert rows == [("1", "22086", 6), ("2", "22087", 7), ("3", "22088", 9)]
+
+
+def test_a_header_without_required_columns_is_an_error(spark, tmp_path):
+    put(tmp_path, "in/a.csv", csv_text(RAW))
+    put(tmp_path, "in/b.csv", "x,y\n1,2\n")
+    with pytest.raises(IngestError):
+        files.read_sales_csv(spark, str(tmp_path / "in"))
+
+
+@pytest.mark.parametrize("extra", ["", ",too,many"])
+def test_very_long_quoted_fields(spark, tmp_path, extra):
+    header = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country"
+    long = "long, " * 20_000
+    text = f'{header}\n1,22086,"{long}""x""",6,2010-01-02 03:04,2.50,7,UK{extra}\n2,22087,B,6,2010-01-02 03:04,2.50,7,UK\n'
+    rows = files.read_sales_csv(spark, put(tmp_path, "a.csv", text)).select("invoice_id").collect()
+    assert sorted(r.invoice_id for r in rows) == (["2"] if extra else ["1", "2"])
 
 
 def test_files_with_different_delimiters_are_read_together(spark, tmp_path):
@@ -99,6 +124,19 @@ def test_invalid_bytes_do_not_stop_the_read(spark, tmp_path):
         ("20091201", datetime(2009, 12, 1)),
         ("2009-13-01", None),
         ("", None),
+        ("1/12/10 8:26", datetime(2010, 1, 12, 8, 26)),
+        ("13/12/69 8:26", datetime(1969, 12, 13, 8, 26)),
+        ("12/1/2009 1:26 PM", datetime(2009, 12, 1, 13, 26)),
+        ("12/1/2009 12:05:09 a.m.", datetime(2009, 12, 1, 0, 5, 9)),
+        ("Dec 1 2009", datetime(2009, 12, 1)),
+        ("1-Dec-09 7:45", datetime(2009, 12, 1, 7, 45)),
+        ("December 1, 2009 1:26 PM", datetime(2009, 12, 1, 13, 26)),
+        ("1 september 2009 13:26", datetime(2009, 9, 1, 13, 26)),
+        ("2009-12-01T13:26:00+02:00", datetime(2009, 12, 1, 11, 26)),
+        ("12/1/2009 13:26 +0200", datetime(2009, 12, 1, 11, 26)),
+        ("2009-12-01 13:26:00Z", datetime(2009, 12, 1, 13, 26)),
+        ("Decade 1 2009", None),
+        ("12/1/2009 13:26 PM", None),
     ],
 )
 def test_mixed_dates(spark, text, expected):
@@ -113,7 +151,9 @@ def test_whole_numbers(spark, text, expected):
 
 
 def test_row_cap(spark, tmp_path):
-    assert files.read_sales(spark, put(tmp_path, "a.csv", csv_text(RAW)), max_rows=2).count() == 2
+    path = put(tmp_path, "a.csv", csv_text(RAW))
+    first = [r.invoice_id for r in files.read_sales(spark, path, with_ordinal=True).orderBy("ordinal").collect()][:2]
+    assert [r.invoice_id for r in files.read_sales(spark, path, max_rows=2).collect()] == first
 
 
 def test_null_tokens_are_opt_in(spark, tmp_path):
