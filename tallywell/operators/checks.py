@@ -200,6 +200,39 @@ UNIQUE_KEYS = {
 }
 
 
+# The columns of the loaded tables that must not be null, and the keys.
+SOURCE_NOT_NULL = {
+    "sales_detail": ("product_id", "quantity", "sale_date", "unit_price", "line_revenue"),
+    "product_date_revenue": ("sale_date", "product_id", "total_revenue"),
+    "daily_summary": ("sale_date",),
+}
+SOURCE_UNIQUE = {"daily_summary": (("sale_date",),)}
+
+
+def source_checks(sources: dict[str, DataFrame], as_of: datetime) -> list[Check]:
+    """The data tests of the loaded tables that are there, and the freshness of the detail.
+
+    Stale detail is a warning from 26 hours on and an error from 72.
+    """
+    checks = [
+        Check(f"source_not_null_{t}_{c}", frame=sources[t], predicate=F.col(c).isNull())
+        for t, columns in SOURCE_NOT_NULL.items()
+        if t in sources
+        for c in columns
+    ]
+    checks += [
+        Check(f"source_unique_{t}_{'_'.join(k)}", lambda t=t, k=k: check_unique(sources[t], *k))
+        for t, key_sets in SOURCE_UNIQUE.items()
+        if t in sources
+        for k in key_sets
+    ]
+    if "sales_detail" in sources:
+        fresh = check_freshness(sources["sales_detail"], as_of)
+        checks.append(Check("source_freshness_error", lambda: fresh.where("status = 'error'")))
+        checks.append(Check("source_freshness_warn", lambda: fresh.where("status = 'warn'"), severity="warn"))
+    return checks
+
+
 def published_checks(enriched: DataFrame, published: dict[str, DataFrame]) -> list[Check]:
     """The data tests of the warehouse over its layers."""
     not_null = {

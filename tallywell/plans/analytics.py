@@ -1,9 +1,11 @@
 """The distributed analyses over the written detail, and the warehouse build."""
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.operators.checks import published_checks, run_checks
+from tallywell.operators.checks import SOURCE_NOT_NULL, published_checks, run_checks, source_checks
 from tallywell.operators.countries import country_concentration
 from tallywell.operators.rankings import monthly_ranking
 from tallywell.operators.trends import daily_trend
@@ -43,9 +45,18 @@ def run_analyses(
 
 def build_warehouse(
     spark: SparkSession, source_table: str, database: str = "published", location: str | None = None,
-    failures_path: str | None = None,
+    failures_path: str | None = None, as_of: datetime | None = None,
 ) -> tuple[dict, list[dict]]:
-    """Build the published tables, then run every data test over them."""
+    """Build the published tables, then run every data test over them and over the loaded tables.
+
+    The loaded tables are the detail and those of its database with the names of the daily
+    run's results; ``as_of`` is the time that freshness is measured at, now by default.
+    """
     loaded = build_layers(spark, source_table, database, location)
     published = {name: spark.table(f"{database}.{name}") for name in loaded}
-    return loaded, run_checks(published_checks(spark.table(enriched_view(database)), published), failures_path)
+    raw = source_table.rpartition(".")[0]
+    names = {"sales_detail": source_table} | {n: f"{raw}.{n}" if raw else n for n in SOURCE_NOT_NULL if n != "sales_detail"}
+    sources = {n: spark.table(t) for n, t in names.items() if spark.catalog.tableExists(t)}
+    now = as_of or datetime.now(UTC).replace(tzinfo=None)
+    checks = [*source_checks(sources, now), *published_checks(spark.table(enriched_view(database)), published)]
+    return loaded, run_checks(checks, failures_path)

@@ -1,6 +1,7 @@
 """End to end: 30 good lines and three bad ones."""
 
 import json
+from datetime import timedelta
 from decimal import Decimal
 
 import pytest
@@ -8,8 +9,9 @@ from frames import csv_text
 
 from tallywell.errors import QualityError
 from tallywell.operators import monitoring as M
+from tallywell.operators.checks import run_checks, source_checks
 from tallywell.operators.quality import Limits
-from tallywell.plans import analytics, daily_run
+from tallywell.plans import analytics, daily_run, watch
 from tallywell.sinks.files import read_result
 
 LOOSE = Limits(max_reject_pct=20.0)
@@ -86,11 +88,29 @@ def test_analyses_and_warehouse(spark, done):
     base, report = done
     rows = analytics.run_analyses(spark, report["outputs"]["sales_detail"], str(base / "analyses"))
     assert rows == {"monthly_ranking": 3, "daily_trend": 10, "country_concentration": 1}
-    loaded, checks = analytics.build_warehouse(spark, "raw_e2e.sales_detail", "published_e2e", str(base / "pub"))
+    last = spark.table("raw_e2e.sales_detail").selectExpr("cast(max(sale_date) as timestamp_ntz) d").first().d
+    loaded, checks = analytics.build_warehouse(
+        spark, "raw_e2e.sales_detail", "published_e2e", str(base / "pub"), as_of=last + timedelta(hours=20)
+    )
     assert {n: r.rows for n, r in loaded.items()} == {
         "product_date_revenue": 30, "daily_summary": 10, "product_ranking": 3, "country_sales": 1
     }
-    assert len(checks) == 35 and all(c["status"] == "pass" for c in checks)
+    assert len(checks) == 47 and all(c["status"] == "pass" for c in checks)
+    stale = source_checks({"sales_detail": spark.table("raw_e2e.sales_detail")}, last + timedelta(hours=73))
+    assert {c["check"]: c["status"] for c in run_checks(stale)}["source_freshness_error"] == "fail"
+
+
+def test_the_watch_writes_its_rows_even_if_a_check_fails(spark, done, tmp_path):
+    raw = spark.table("raw_e2e.sales_detail")
+    published = {n: spark.table(f"published_e2e.{n}") for n in ("daily_summary", "product_date_revenue")}
+    found = watch.watch_warehouse(spark, raw, published, str(tmp_path / "m"))
+    assert found["volumes"] == {"daily_summary": 10, "product_date_revenue": 30} and found["days"] == 10
+    with pytest.raises(QualityError, match="tables without rows"):
+        watch.watch_warehouse(spark, raw, published | {"daily_summary": published["daily_summary"].limit(0)}, str(tmp_path / "m"))
+    with pytest.raises(QualityError, match="differ"):
+        watch.watch_warehouse(spark, raw.limit(3), published, str(tmp_path / "m"))
+    done_marks = spark.read.parquet(str(tmp_path / "m")).where("metric = 'almacen_vigilancia_completada'").orderBy("ts")
+    assert [r.value for r in done_marks.collect()] == [1.0, 0.0, 1.0]
 
 
 def test_parquet_source_gives_the_same(spark, done, tmp_path):
