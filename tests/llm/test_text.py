@@ -128,6 +128,18 @@ def test_bands_reject_what_reads_unlike_its_language(spark):
     assert quality.quality_rules(documents(spark, [])).count() == 0
 
 
+def test_copies_of_one_text_do_not_narrow_the_band(spark):
+    rng = np.random.default_rng(5)
+    words = "the old house by river stands and people walk along water every quiet evening until lights come on".split()
+    texts = [" ".join(rng.choice(words, 200)) for _ in range(61)]
+    # one text has 80 % of the language
+    rows = [*enumerate(texts[:60]), *((1000 + k, texts[60]) for k in range(240))]
+    rows += [(100, " ".join("".join(rng.choice(list("qxzjkvwpy#%$&"), 6)) for _ in range(200)))]
+    found = {r["doc_id"]: r["kept"] for r in quality.quality_rules(documents(spark, rows)).collect()}
+    assert not found[100] and all(kept for k, kept in found.items() if k != 100)
+    assert {r["doc_id"] for r in quality.keep_good(documents(spark, rows)).collect()} == found.keys() - {100}
+
+
 def toxic_rows():
     rng = np.random.default_rng(2)
     plain = [f"w{k}" for k in range(300)]
