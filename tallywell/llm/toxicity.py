@@ -4,8 +4,9 @@ Texts are vectors of TF-IDF weights over the words and word beginnings that spea
 for toxicity among labelled examples. The examples' postings are cut into blocks of
 neighbouring examples with the largest weight of each term; blocks are opened in
 the order of their bounds until no bound reaches the k-th cosine found. The
-examples vote by cosine, with the share of toxic ones among examples without any
-such term as the prior.
+examples vote by cosine, all that tie with the last one too, with the share of toxic
+ones among examples without any such term as the prior. Examples of one vector are one
+entry of the index with their toxic and clean weight.
 """
 
 from collections import Counter
@@ -40,6 +41,9 @@ NEIGHBOURS = 15
 BLOCK = 64
 PRIOR_WEIGHT = 0.5
 
+#: Cosines that differ by less are equal, as sums of floats are.
+TIE = 1e-12
+
 #: Word beginnings of these lengths are terms beside the words.
 BEGINNINGS = (4, 5, 6)
 _STRIPPED = ".,;:!?\"'()[]{}<>*#|%&$-_+=~`/\\"
@@ -61,7 +65,8 @@ class Examples:
     """The chosen terms with their weights, and the labelled examples as an index.
 
     ``terms`` by place; ``idf`` by term; ``entries`` are (example, term, weight) with
-    examples of length one; ``toxic`` and ``share`` (rows that an example stands for) by example.
+    examples of length one; ``toxic`` (part of its weight that is toxic), ``share`` (labelled
+    rows that it stands for) and ``rows`` (sampled rows, 1 if none are given) by example.
     """
 
     terms: list[str]
@@ -70,6 +75,7 @@ class Examples:
     toxic: np.ndarray
     share: np.ndarray
     prior: float
+    rows: np.ndarray | None = None
 
     @cached_property
     def place(self) -> dict[str, int]:
@@ -90,13 +96,26 @@ class Examples:
         np.maximum.at(most, cell, weight)
         return example[order], weight[order], starts, most.reshape(len(self.terms), self.blocks)
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[int, float]]:
-        """The k examples of the largest cosine above 0, ties to the smaller place; exact."""
+    def _first(self, found: list[tuple[int, float]], k: int) -> list[tuple[int, float]]:
+        """Of entries in order, those that hold the first k rows, and all that tie with the last of them."""
+        held = 0
+        for at, (x, cosine) in enumerate(found):
+            if held >= k and cosine < found[at - 1][1] - TIE:
+                return found[:at]
+            held += 1 if self.rows is None else int(self.rows[x])
+        return found
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, ties: bool = False) -> list[tuple[int, float]]:
+        """The k examples of the largest cosine above 0, ties to the smaller place; exact.
+
+        With ``ties``, entries count by their rows, and all that tie with the k-th row are found.
+        """
         examples, posted, starts, most = self._postings
         bounds = weights @ most[terms]
         best: list[tuple[int, float]] = []
+        full = False
         for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < best[-1][1] - 1e-12:
+            if bounds[block] <= 0 or full and bounds[block] < best[-1][1] - TIE:
                 break
             scores = np.zeros(BLOCK)
             for term, weight in zip(terms, weights):
@@ -104,7 +123,9 @@ class Examples:
                 scores[examples[a:b] % BLOCK] += weight * posted[a:b]
             found = np.flatnonzero(scores > 0)
             best += [(int(block) * BLOCK + int(x), float(scores[x])) for x in found]
-            best = sorted(best, key=lambda e: (-e[1], e[0]))[:k]
+            best = sorted(best, key=lambda e: (-e[1], e[0]))
+            best = self._first(best, k) if ties else best[:k]
+            full = (sum(int(self.rows[x]) for x, _ in best) if ties and self.rows is not None else len(best)) >= k
         return best
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
@@ -116,12 +137,12 @@ class Examples:
         """Vote of the neighbours, and the neighbours as evidence."""
         if not counts or not len(self.toxic):
             return self.prior, []
-        near = self.nearest(*self.vector(counts))
+        near = self.nearest(*self.vector(counts), ties=True)
         votes = [(cosine * self.share[x], self.toxic[x]) for x, cosine in near]
         total = sum(v for v, _ in votes)
         # the prior weighs as much as part of a neighbour of average standing
-        own = PRIOR_WEIGHT * float(self.share.mean())
-        return (sum(v for v, toxic in votes if toxic) + own * self.prior) / (total + own), near
+        own = PRIOR_WEIGHT * float(self.share.sum() / (len(self.share) if self.rows is None else self.rows.sum()))
+        return (sum(v * toxic for v, toxic in votes) + own * self.prior) / (total + own), near
 
 
 def _level(hits: int) -> str:
@@ -255,18 +276,23 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: s
     toxic_share, share = F.sum(F.col("toxic") * F.col("share")), F.sum("share")
     bare = rows.where(plain).agg(F.coalesce(toxic_share, F.lit(0.0)).alias("t"), F.coalesce(share, F.lit(0.0)).alias("n")).first()
     prior = bare["t"] / bare["n"] if bare["n"] else 0.0
-    told = sorted(rows.where(~plain).collect())
-    model = Examples(terms, idf, np.zeros(0), np.array([r["toxic"] for r in told]), np.array([r["share"] for r in told]), float(prior))
-    entries = []
-    for k, row in enumerate(told):
+    by_vector: dict[tuple, list[float]] = {}
+    model = Examples(terms, idf, np.zeros(0), np.zeros(0), np.zeros(0), float(prior))
+    for row in sorted(rows.where(~plain).collect()):
         place_, weight = model.vector(Counter(dict(zip(row["terms"], row["counts"]))))
-        entries += [(k, t, w) for t, w in zip(place_.tolist(), weight.tolist())]
+        told = by_vector.setdefault((tuple(place_.tolist()), tuple(weight.round(12).tolist())), [0.0, 0.0, 0])
+        told[row["toxic"]] += row["share"]
+        told[2] += 1
+    entries = [(k, t, w) for k, (at, weight) in enumerate(by_vector) for t, w in zip(at, weight)]
     model.entries = np.array(entries, [("example", np.int64), ("term", np.int64), ("weight", float)])
+    clean, toxic, model.rows = np.array(list(by_vector.values()), float).reshape(-1, 3).T
+    model.share = clean + toxic
+    model.toxic = toxic / np.maximum(model.share, 1e-300)
     return model
 
 
 def add_scores(docs: DataFrame, model: Examples, text_col: str = "text") -> DataFrame:
-    """``row``, ``score``, ``predicted`` and ``evidence`` (cosines and labels of the neighbours) of every row."""
+    """``row``, ``score``, ``predicted`` and ``evidence`` (cosine and majority label of the neighbours, one of each vector) of every row."""
 
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
         counter, known, scores, evidence = _counter(model), {}, [], []
@@ -277,7 +303,7 @@ def add_scores(docs: DataFrame, model: Examples, text_col: str = "text") -> Data
                 known[key] = model.score(counts)
             score, near = known[key]
             scores.append(score)
-            evidence.append([{"cosine": c, "toxic": int(model.toxic[x])} for x, c in near])
+            evidence.append([{"cosine": c, "toxic": int(model.toxic[x] >= 0.5)} for x, c in near])
         predicted = [int(s >= 0.5) for s in scores]
         kind = pa.list_(pa.struct([("cosine", pa.float64()), ("toxic", pa.int32())]))
         return [pa.array(scores, pa.float64()), pa.array(predicted, pa.int32()), pa.array(evidence, kind)]

@@ -177,6 +177,23 @@ def test_without_labels_or_documents(spark):
     assert toxicity.score_toxicity(documents(spark, []), marks).count() == 0
 
 
+def test_all_examples_tied_with_the_last_neighbour_vote(spark):
+    rows = [(k, "stinker " + f"w{k % 7} " * 5) for k in range(1, 1400)] + [(5000 + k, f"w{k % 7} w{k % 5}") for k in range(2000)]
+    training = [(i, 1, int(i < 5000)) for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    # of those with the word, 90 toxic and 20 clean ones stay
+    with_word = [x[0] for x in training if x[0] < 5000]
+    marks = [(i, 1, int(i in set(with_word[:90]))) for i in with_word[:110]] + [x for x in training if x[0] >= 5000]
+    docs = documents(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    assert len(model.toxic) == 1 and model.rows.tolist() == [110] and model.toxic[0] == pytest.approx(90 / 110)
+    score, near = model.score(toxicity._TermCounter(model.place).count("a stinker"))
+    assert len(near) == 1 and score == pytest.approx(90 / 110, abs=0.01)
+    # ties between entries as well
+    entries = np.array([(e, 0, 0.5) for e in range(110)], [("example", np.int64), ("term", np.int64), ("weight", float)])
+    tied = toxicity.Examples(["a"], np.ones(1), entries, np.repeat([0, 1], [20, 90]), np.ones(110), 0.0)
+    assert tied.score(Counter({0: 1}))[0] > 0.8
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(3)
     terms, examples = 30, 700
