@@ -25,15 +25,10 @@ from tallywell.llm.common import annotate, crc32_mod, id_and_text, in_slices, ma
 TOXIC_EXAMPLES = 4_000
 CLEAN_EXAMPLES = 8_000
 
-#: Terms kept of those that speak for toxicity, and the least chi-square of one.
-TERMS = 128
-CANDIDATES = 8_192
+#: Least chi-square of a term that speaks for toxicity, and least number of different texts with it.
 LEAST_CHI2 = 40.0
 LEAST_EXAMPLES = 5
 
-#: Least chi-square against the strongest term's; below are chance words of toxic texts with many copies.
-LEAST_STRENGTH = 0.08
-
 #: Numbers of different words with a term that are terms themselves.
 LEVELS = (2, 3, 5)
 
@@ -198,10 +193,12 @@ def sample_examples(docs: DataFrame, labels: DataFrame, text_col: str = "text",
 
 
 def choose_terms(examples: DataFrame) -> list[str]:
-    """Terms of the sample that stand in toxic examples more often, by chi-square, then by name.
+    """All terms of the sample that stand in toxic texts more often, by chi-square, then by name.
 
-    Of a word and its beginnings only the strongest is kept.
+    Different texts are counted, so copies lend a term nothing. Of a word and its
+    beginnings only the strongest is kept.
     """
+    examples = examples.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: tuple[Counter, Counter] = (Counter(), Counter())
@@ -221,13 +218,12 @@ def choose_terms(examples: DataFrame) -> list[str]:
     d, c, n = toxic - F.col("a"), clean - F.col("b"), toxic + clean
     chi2 = n * F.pow(F.col("a") * c - F.col("b") * d, 2) / (toxic * clean * (F.col("a") + F.col("b")) * F.greatest(c + d, F.lit(0.5)))
     rows = rows.where((F.col("a") + F.col("b") >= LEAST_EXAMPLES) & (F.col("a") * clean > F.col("b") * toxic))
-    best = rows.select("term", chi2.alias("chi2")).where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(CANDIDATES)
+    best = rows.select("term", chi2.alias("chi2")).where(F.col("chi2") >= LEAST_CHI2)
     strength = {r["term"]: r["chi2"] for r in best.collect()}
     chains = {t: [b for b in terms_of(t) if b != t and b.endswith("*") and b in strength] for t in strength}
     weaker = {t for t, shorter in chains.items() if any(strength[b] >= strength[t] for b in shorter)}
     weaker |= {b for t, shorter in chains.items() for b in shorter if strength[b] < strength[t]}
-    weaker |= {t for t, x in strength.items() if x < LEAST_STRENGTH * max(strength.values())}
-    kept = sorted(strength.keys() - weaker, key=lambda t: (-strength[t], t))[:TERMS]
+    kept = sorted(strength.keys() - weaker, key=lambda t: (-strength[t], t))
     return [*kept, *map(_level, LEVELS)] if kept else []
 
 

@@ -194,6 +194,23 @@ def test_all_examples_tied_with_the_last_neighbour_vote(spark):
     assert tied.score(Counter({0: 1}))[0] > 0.8
 
 
+def test_rare_toxic_words_stay_terms_beside_copies_of_one_text(spark):
+    from tallywell.llm.catalog import make_importable
+
+    make_importable(spark)
+    rng = np.random.default_rng(4)
+    plain = [f"w{k}" for k in range(300)]
+    clean = [(" ".join(rng.choice(plain, 20)), 0, 1.0) for _ in range(2000)]
+    # chi-square of the copies' words would be a hundred times that of the others
+    copies = [("copied " + " ".join(plain[:10]), 1, 1.0)] * 900
+    rare = [(f"vile{word} " + " ".join(rng.choice(plain, 20)), 1, 1.0) for word in "abcdefghij" * 15]
+    terms = toxicity.choose_terms(spark.createDataFrame(clean + copies + rare, "text string, toxic int, share double"))
+    assert "copied" not in terms and "vile*" in terms
+    words = [(f"x{k:03}y " + " ".join(rng.choice(plain, 20)), 1, 1.0) for k in range(150) for _ in range(10)]
+    terms = toxicity.choose_terms(spark.createDataFrame(clean + words, "text string, toxic int, share double"))
+    assert sum(t.startswith("x") for t in terms) == 150
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(3)
     terms, examples = 30, 700
