@@ -2,8 +2,10 @@
 
 Markup is stripped into lines, one per block element. A line counts with the length of
 its text, or not at all where its element is a menu, advert, form or the like, or is
-made of links. Sums over sliding windows of lines surge where the article begins and dive
-to nothing where it ends; the text between is kept.
+made of links; an element that the page names as its article makes its lines weigh more
+and those outside nothing. On every page sums over sliding windows of lines surge where
+the text begins and dive to nothing where it ends. The heaviest run between is kept, with
+the runs and lines of the same container and runs that only side lines part from it.
 """
 
 import re
@@ -19,9 +21,12 @@ from tallywell.llm.common import id_and_text, text_batches
 
 WINDOW = 3
 
-#: Characters in a window at which an article begins, where no element says so.
+#: Weight of a window at which a text begins.
 SURGE_CHARS = 80
 
+#: Weight of a character in an element that is named as the article.
+NAMED_WEIGHT = 8
+
 # Elements of HTML by their part in a page.
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -52,12 +57,20 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _WORD = re.compile(r"[A-Za-z]+")
 
 
+class Container:
+    """An element that holds blocks; the page itself, html and body are none."""
+
+    def __init__(self, parent: "Container | None"):
+        self.parent = parent
+
+
 @dataclass
 class Line:
     text: str
     weight: int
     side: bool
     article: int
+    container: Container | None
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -88,7 +101,7 @@ def lines_of(html: str) -> list[Line]:
     lines: list[Line] = []
     text: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, int]] = [("", False, 0)]
+    stack: list[tuple[str, bool, int, Container | None]] = [("", False, 0, None)]
     articles = links = at = 0
 
     def flush() -> None:
@@ -96,9 +109,9 @@ def lines_of(html: str) -> list[Line]:
         joined = " ".join("".join(text).split())
         text.clear()
         if joined:
-            _, side, article = stack[-1]
+            _, side, article, container = stack[-1]
             weight = 0 if side else max(0, len(joined) - linked)
-            lines.append(Line(joined, weight, side, article))
+            lines.append(Line(joined, weight, side, article, container))
         linked = 0
 
     def add(piece: str) -> None:
@@ -150,14 +163,16 @@ def lines_of(html: str) -> list[Line]:
                     break
                 if stack[depth][0] in CONTAINERS or stack[depth][0] in ("ul", "ol", "dl"):
                     break
-        _, side, article = stack[-1]
+        _, side, article, container = stack[-1]
         if not side and _is_side(tag, source, article > 0):
             flush()
             side = True
         if not article and not side and (tag in ("article", "main") or 'role="main"' in source or "articleBody" in source):
             articles += 1
             article = articles
-        stack.append((tag, side, article))
+        if tag in CONTAINERS and tag not in ("html", "body"):
+            container = Container(container)
+        stack.append((tag, side, article, container))
     add(html[at:])
     flush()
     return lines
@@ -177,29 +192,65 @@ def _between(weights: list[int], surge: int) -> Iterator[tuple[int, int]]:
         yield start, len(weights)
 
 
+def _windows(weights: list[int]) -> int:
+    """The heaviest window."""
+    return max((sum(weights[i : i + WINDOW]) for i in range(len(weights))), default=0)
+
+
+def _weights(lines: list[Line]) -> list[int]:
+    """Weight of each line: more in the named element of the heaviest run, then nothing outside; names that hold no surge count for nothing."""
+    plain = [x.weight for x in lines]
+    best, heaviest = None, 0
+    for article in sorted({x.article for x in lines if x.article and not x.side}):
+        own = [NAMED_WEIGHT * w if x.article == article else 0 for x, w in zip(lines, plain)]
+        most = max((sum(own[a:b]) for a, b in _between(own, max(1, min(SURGE_CHARS, _windows(own))))), default=0)
+        if most > heaviest:
+            best, heaviest = own, most
+    if best is None or _windows(best) < NAMED_WEIGHT * SURGE_CHARS and _windows([0 if x.article else w for x, w in zip(lines, plain)]) >= SURGE_CHARS:
+        return plain
+    return best
+
+
+def _is_inside(container: Container | None, known: dict[Container | None, bool]) -> bool:
+    """Whether one of the known containers holds it; all that are passed are remembered."""
+    passed = []
+    while container not in known:
+        passed.append(container)
+        container = container.parent
+    known.update(dict.fromkeys(passed, known[container]))
+    return known[container]
+
+
 def main_text(html: str) -> str:
-    """Text of the article: of the element that holds it if the page names one, else the longest run of text."""
+    """Text of the heaviest run between a surge and a dive, with what belongs to it."""
     lines = lines_of(html)
-    by_article: dict[int, int] = {}
-    for line in lines:
-        if line.article and not line.side:
-            by_article[line.article] = by_article.get(line.article, 0) + len(line.text)
-    if by_article:
-        chosen = max(by_article, key=lambda a: (by_article[a], -a))
-        weights = [len(x.text) if x.article == chosen and not x.side else 0 for x in lines]
-        runs = list(_between(weights, 1))
-        kept = [i for a, b in runs for i in range(a, b) if weights[i]]
-    else:
-        weights = [x.weight for x in lines]
-        most = max((sum(weights[i : i + WINDOW]) for i in range(len(weights))), default=0)
-        runs = list(_between(weights, max(1, min(SURGE_CHARS, most))))
-        a, b = max(runs, key=lambda r: sum(weights[r[0] : r[1]]), default=(0, 0))
+    weights = _weights(lines)
+    runs = [(a, b) for a, b in _between(weights, max(1, min(SURGE_CHARS, _windows(weights))))]
+    if not runs:
+        return ""
+    chosen = max(range(len(runs)), key=lambda k: (sum(weights[slice(*runs[k])]), -k))
+    taken = {chosen}
+    # neighbouring runs go with it if only side lines part them
+    for step in (-1, 1):
+        k = chosen
+        while 0 <= k + step < len(runs):
+            (_, a), (b, _) = sorted((runs[k], runs[k + step]))
+            if not all(lines[i].side for i in range(a, b)):
+                break
+            k += step
+            taken.add(k)
+    kept: set[int] = set()
+    for k in taken:
+        a, b = runs[k]
         while a < b and not weights[a]:
             a += 1
         while a < b and not weights[b - 1]:
             b -= 1
-        kept = [i for i in range(a, b) if not lines[i].side]
-    return "\n".join(lines[i].text for i in kept)
+        kept |= {i for i in range(a, b) if not lines[i].side}
+    # and so do all lines with weight inside the containers that hold its lines
+    known: dict[Container | None, bool] = {lines[i].container: True for i in kept if weights[i]} | {None: False}
+    kept |= {i for i, x in enumerate(lines) if weights[i] and _is_inside(x.container, known)}
+    return "\n".join(lines[i].text for i in sorted(kept))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:

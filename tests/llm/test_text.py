@@ -206,7 +206,7 @@ def test_rare_toxic_words_stay_terms_beside_copies_of_one_text(spark):
     rare = [(f"vile{word} " + " ".join(rng.choice(plain, 20)), 1, 1.0) for word in "abcdefghij" * 15]
     terms = toxicity.choose_terms(spark.createDataFrame(clean + copies + rare, "text string, toxic int, share double"))
     assert "copied" not in terms and "vile*" in terms
-    words = [(f"x{k:03}y " + " ".join(rng.choice(plain, 20)), 1, 1.0) for k in range(150) for _ in range(10)]
+    words = [(" ".join(rng.choice([f"x{k:03}y" for k in range(150)], 75, replace=False)), 1, 1.0) for _ in range(300)]
     terms = toxicity.choose_terms(spark.createDataFrame(clean + words, "text string, toxic int, share double"))
     assert sum(t.startswith("x") for t in terms) == 150
 
@@ -259,3 +259,21 @@ def test_pages(spark):
     assert [r["text"] for r in rows] == [text for _, text in PAGES]
     assert all(r["n_chars"] == len(r["text"]) and r["url"] == f"u{r['page_id']}" for r in rows)
     assert html_text.extract_pages(pages.limit(0)).count() == 0
+
+
+LONG = "A paragraph of the article that is long enough for a window of lines to surge at it, even alone."
+SIDE = "<div class=ad><p>Buy</p><p>now</p><p>here</p></div>"
+LINKED = "<ul><li><a href=a>One story</a><li><a href=b>Another story</a><li><a href=c>A third story</a></ul>"
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<body><div class=x><p>{LONG} 1<p>{LONG} 2{SIDE}<p>Short.<p>{LONG} 3</div>", f"{LONG} 1\n{LONG} 2\nShort.\n{LONG} 3"),
+        (f"<body><p>{LONG} 1</p>{SIDE}<p>{LONG} 2</p></body>", f"{LONG} 1\n{LONG} 2"),
+        (f"<article><p>{LONG}</p><div>{LINKED}</div></article>", LONG),
+        (f"<main><p>Teaser</p></main><div class=x><p>{LONG}<p>{LONG}</div>", f"Teaser\n{LONG}\n{LONG}"),
+    ],
+)
+def test_surges_and_dives_pick_the_text(html, text):
+    assert html_text.main_text(html) == text
