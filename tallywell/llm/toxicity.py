@@ -116,7 +116,9 @@ class Examples:
             for term, weight in zip(terms, weights):
                 a, b = starts[term * self.blocks + block], starts[term * self.blocks + block + 1]
                 scores[examples[a:b] % BLOCK] += weight * posted[a:b]
-            found = np.flatnonzero(scores > 0)
+            found = np.flatnonzero(scores > (max(0.0, best[-1][1] - TIE) if full else 0.0))
+            if not len(found):
+                continue
             best += [(int(block) * BLOCK + int(x), float(scores[x])) for x in found]
             best = sorted(best, key=lambda e: (-e[1], e[0]))
             best = self._first(best, k) if ties else best[:k]
