@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywell.llm import bpe, html_text, katz, packing, pii, quality, simhash, topk, toxicity, training_order
+from tallywell.llm import bpe, html_text, katz, packing, periodic_runs, pii, quality, simhash, topk, toxicity, training_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,8 @@ def op9_html_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.digests(training_order.materialise(_table(spark, sf_dir, "documents"), "order-1"))
+
+
+@_query
+def op13_suffix_tree_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), planted=True))
