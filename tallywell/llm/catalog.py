@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywell.llm import bpe, html_text, katz, packing, periodic_runs, pii, quality, simhash, topk, toxicity, training_order
+from tallywell.llm import bpe, html_text, katz, packing, periodic_runs, pii, quality, simhash, superminhash, topk, toxicity, training_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +102,8 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op13_suffix_tree_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), planted=True))
+
+
+@_query
+def op12_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(_table(spark, sf_dir, "documents"))
