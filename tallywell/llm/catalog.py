@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywell.llm import bpe, html_text, katz, packing, periodic_runs, pii, quality, simhash, superminhash, topk, toxicity, training_order
+from tallywell.llm import bpe, collocations, html_text, katz, packing, periodic_runs, pii, quality, simhash, superminhash, topk, toxicity, training_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,56 @@ def op13_suffix_tree_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op12_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_de_bruijn_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_de_bruijn_collocations"] = """
+WITH pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), sized AS (
+  SELECT lang, w, i, unnest(range(1, 5)) AS size FROM places
+), grams AS (
+  SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase, count(*) AS a
+  FROM sized WHERE i + size - 1 <= len(w)
+  GROUP BY ALL HAVING count(*) >= 30
+), inner_phrases AS (
+  SELECT lang, phrase AS longer, a AS longer_a, string_split(phrase, ' ') AS w, size, unnest(range(1, size + 1)) AS i
+  FROM grams WHERE size > 2
+), within AS (
+  SELECT lang, longer_a, array_to_string(w[i : i + part - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(2, size)) AS part FROM inner_phrases) WHERE i + part - 1 <= size
+), covers AS (
+  SELECT lang, phrase, max(longer_a) AS cover FROM within GROUP BY ALL
+), left_over AS (
+  SELECT g.lang, g.size, g.phrase, g.a, string_split(g.phrase, ' ') AS w
+  FROM grams g LEFT JOIN covers c ON c.lang = g.lang AND c.phrase = g.phrase
+  WHERE g.size > 1 AND (c.cover IS NULL OR 100 * CAST(c.cover AS HUGEINT) < 80 * CAST(g.a AS HUGEINT))
+), cuts AS (
+  SELECT lang, size, phrase, a, w, unnest(range(1, size)) AS k FROM left_over
+), cut_scores AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r,
+         CAST(2000000 * CAST(c.a AS HUGEINT) // (CAST(x.a AS HUGEINT) + y.a) AS BIGINT) AS score
+  FROM cuts c
+  JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : c.k], ' ')
+  JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1 : c.size], ' ')
+), worst AS (
+  SELECT * FROM cut_scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM worst JOIN totals USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""

@@ -205,7 +205,7 @@ def test_tree_search_looks_at_few_points():
 
 def test_queries_are_registered_and_agree_with_their_sql(spark):
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11)) | {12, 13}
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     con = oracle.connect(FOLDER)
     for name, sql in ORACLES.items():
         assert oracle.differences(QUERIES[name](spark, FOLDER), con, sql) is None
