@@ -181,29 +181,6 @@ def offset_delta(spark: SparkSession, folder: str) -> DataFrame:
     return M.offset_delta(samples(spark, folder), ["metric"])
 
 
-_ALERTS = f"""
-    SELECT 'CalidadDeDatosDegradada' AS alert, 300 AS secs, instance, ts, micros, value > 10 AS met FROM samples WHERE metric = 'click'
-    UNION ALL SELECT 'PipelineDemasiadoLento', 120, instance, ts, micros, value > 900 FROM samples WHERE metric = 'view'
-    UNION ALL SELECT 'ServicioCaido', 120, instance, ts, micros, value = 0 FROM samples WHERE metric = 'signup'
-    UNION ALL SELECT 'CaidaAbruptaDeVolumen', 900, '', ts, micros, value * n < 0.5 * total FROM (
-        SELECT *, sum(value) {_range(M.DAY * 7)} AS total, count(*) {_range(M.DAY * 7)} AS n FROM samples WHERE metric = 'purchase')
-    UNION ALL SELECT 'TareasDeAirflowFallando', 300, '', i.ts, s.micros, increase > 3 FROM ({_increase(M.HOUR)}) i
-        JOIN samples s USING (sample_id) WHERE i.metric = 'error'"""
-
-
-@query("alert_rules", sql(
-    f"""SELECT alert, instance, min(ts) AS since, max(ts) AS until, count(*) AS samples FROM (
-        SELECT *, sum(CASE WHEN met THEN 0 ELSE 1 END) OVER (PARTITION BY alert, instance ORDER BY micros) AS span FROM ({_ALERTS}))
-    WHERE met GROUP BY alert, secs, instance, span HAVING max(micros) - min(micros) >= secs * 1000000
-    UNION ALL SELECT 'ProgramadorSinLatido', '', NULL, NULL, 0""", "samples"))
-def alert_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """Events under the names of metrics; volumes and failures are one series, the scheduler is silent."""
-    names = {"click": M.M_REJECT_PCT, "view": M.M_SECONDS, "signup": M.M_UP, "purchase": M.M_ROWS, "error": M.M_FAILURES}
-    metric = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("metric")]
-    single = F.when(F.col("metric").isin("purchase", "error"), "").otherwise(F.col("instance"))
-    return M.alert_rules(samples(spark, folder).withColumns({"metric": metric, "instance": single}), ["instance"])
-
-
 _DOTTED = """SELECT sample_id, CASE metric
     WHEN 'view' THEN 'airflow.dag.flow_' || instance || '.task_' || job || '.duration'
     WHEN 'click' THEN 'airflow.ti.finish.flow_' || instance || '.task_' || job || '.success'

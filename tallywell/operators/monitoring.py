@@ -159,7 +159,7 @@ def volume_drop(
 
 
 def counter_increase(samples: DataFrame, by: Sequence[str], window: int = HOUR) -> DataFrame:
-    """MN8: growth of a counter over the trailing window, per sample.
+    """MN8: growth that samples show over the trailing window, per sample; ``counters`` has the extrapolated form.
 
     A fall means the counter restarted, so the new value is the growth. Growth
     between two samples counts while both lie in the window; nothing is
@@ -208,66 +208,6 @@ def _spans(samples: DataFrame, by: Sequence[str]) -> DataFrame:
     return spans.withColumn("lasted", T.micros("until") - T.micros("since")).drop("span")
 
 
-# The alerts and the seconds that each condition has to hold.
-ALERT_SECONDS = {
-    "PipelineFallo": 60,
-    "DatosDesactualizados": 600,
-    "CalidadDeDatosDegradada": 300,
-    "PipelineDemasiadoLento": 120,
-    "CaidaAbruptaDeVolumen": 900,
-    "ServicioCaido": 120,
-    "AlmacenSinConexionesDisponibles": 300,
-    "TareasDeAirflowFallando": 300,
-    "ProgramadorSinLatido": 300,
-}
-M_UP, M_CONNECTIONS, M_MAX_CONNECTIONS = "up", "pg_stat_activity_count", "pg_settings_max_connections"
-M_FAILURES, M_HEARTBEAT = "airflow_ti_failures", "airflow_scheduler_heartbeat"
-
-
-def alert_rules(samples: DataFrame, series: Sequence[str]) -> DataFrame:
-    """The nine alerts over the history of the metrics: one row per span in which one fires.
-
-    ``samples`` has ``metric``, the labels named by ``series``, ``ts``, ``sample_id`` and ``value``;
-    conditions are evaluated at each sample. ``since`` and ``until`` are null for the
-    scheduler without any heartbeat.
-    """
-    by = list(series)
-    columns = [*by, "ts", "sample_id", "value"]
-
-    def of(*metrics: str) -> DataFrame:
-        return samples.where(F.col("metric").isin(*metrics)).select(*columns)
-
-    def told(alert: str, frame: DataFrame, met: Column) -> DataFrame:
-        return frame.select(F.lit(alert).alias("alert"), *by, "ts", met.alias("met"))
-
-    value = F.col("value")
-    age = F.unix_seconds(F.col("ts").cast("timestamp")) - value
-    timed = of(M_ROWS).select(*columns, T.micros("ts").alias("at"), value.alias("part"), F.lit(1).alias("one"))
-    trailing = T.trailing_sum(timed, by, "at", F.col("at") + 7 * DAY, {"part": "window_sum", "one": "window_count"})
-    fallen = value * F.col("window_count") < F.lit(VOLUME_DROP_FACTOR).cast("decimal(4,2)") * F.col("window_sum")
-    whole = of(M_MAX_CONNECTIONS).groupBy("ts").agg(F.max("value").alias("whole"))
-    share = value > F.lit(CONNECTION_SHARE_ALERT).cast("decimal(4,2)") * F.col("whole")
-    heartbeat = of(M_HEARTBEAT)
-    conditions = [
-        told("PipelineFallo", of(M_SUCCESS), value == 0),
-        told("DatosDesactualizados", of(M_LAST_SUCCESS), age > MAX_STALENESS_SECONDS),
-        told("CalidadDeDatosDegradada", of(M_REJECT_PCT), value > REJECT_PCT_ALERT),
-        told("PipelineDemasiadoLento", of(M_SECONDS), value > STAGE_SECONDS_ALERT),
-        told("CaidaAbruptaDeVolumen", trailing, fallen),
-        told("ServicioCaido", of(M_UP), value == 0),
-        told("AlmacenSinConexionesDisponibles", of(M_CONNECTIONS).join(whole, "ts"), share),
-        told("TareasDeAirflowFallando", counter_increase(of(M_FAILURES), by), F.col("increase") > FAILURES_PER_HOUR_ALERT),
-        told("ProgramadorSinLatido", counter_increase(heartbeat, by, 300 * T.MICROS), F.col("increase") == 0),
-    ]
-    limits = F.create_map(*[F.lit(x) for pair in ALERT_SECONDS.items() for x in pair])
-    spans = _spans(reduce(DataFrame.unionByName, conditions), ["alert", *by])
-    fired = spans.where(F.col("lasted") >= F.element_at(limits, F.col("alert")) * T.MICROS).drop("lasted")
-    silent = heartbeat.agg(F.count("*").alias("samples")).where("samples = 0")
-    absent = [F.lit("ProgramadorSinLatido").alias("alert"), *[F.lit("").alias(c) for c in by]]
-    times = [F.lit(None).cast("timestamp_ntz").alias(c) for c in ("since", "until")]
-    return fired.unionByName(silent.select(*absent, *times, "samples"))
-
-
 def offset_delta(samples: DataFrame, by: Sequence[str], back: int = DAY) -> DataFrame:
     """MN11: value minus the value of the same series ``back`` earlier."""
     timed = samples.select(*by, "ts", "sample_id", "value", T.micros("ts").alias("at"))

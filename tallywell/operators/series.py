@@ -23,9 +23,12 @@ def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def _labelled(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df.fillna("", subset=list(by)) if by else df
+
+
 def _chunked(df: DataFrame, by: Sequence[str], at: str, chunk_micros: int) -> DataFrame:
-    labelled = df.fillna("", subset=list(by)) if by else df
-    return labelled.withColumn("chunk", F.col(at) - F.pmod(F.col(at), F.lit(chunk_micros)))
+    return _labelled(df, by).withColumn("chunk", F.col(at) - F.pmod(F.col(at), F.lit(chunk_micros)))
 
 
 def _carry(df: DataFrame, carried: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -127,3 +130,43 @@ def value_before(
         .withColumn(name, F.col("found.value"))
         .drop("chunk", "is_sample", "old", "carried", "found")
     )
+
+
+def with_next(
+    df: DataFrame, by: Sequence[str], at: str, tie: str, columns: Sequence[str], chunk_micros: int = CHUNK_MICROS
+) -> DataFrame:
+    """Add ``next``, a struct of the columns of the sample after, per series."""
+    turned = df.withColumns({"turned_at": -F.col(at), "turned_tie": -F.col(tie)})
+    found = with_previous(turned, by, "turned_at", "turned_tie", columns, chunk_micros)
+    return found.withColumnRenamed("previous", "next").drop("turned_at", "turned_tie")
+
+
+def one_per_instant(df: DataFrame, by: Sequence[str], at: str, tie: str) -> DataFrame:
+    """The last sample of each instant of a series; a missing label equals an empty one."""
+    others = [c for c in df.columns if c not in (*by, at)]
+    last = _labelled(df, by).groupBy(*by, at).agg(F.max_by(F.struct(*others), tie).alias("last"))
+    return last.select(*by, at, "last.*")
+
+
+def as_of(
+    instants: DataFrame, samples: DataFrame, by: Sequence[str], at: str, columns: Sequence[str], name: str,
+    ahead: bool = False, chunk_micros: int = CHUNK_MICROS,
+) -> DataFrame:
+    """Add to each instant a struct ``name`` of the last sample at or before it, or the first at or after it.
+
+    ``samples`` has one row per instant of a series. Both are merged in order of time, so
+    there is no join on a range. A null struct means that there is no such sample.
+    """
+    def placed(df: DataFrame, is_instant: bool) -> DataFrame:
+        when = -F.col(at) if ahead else F.col(at)
+        return _labelled(df, by).select(*by, when.alias("when"), F.lit(is_instant).alias("is_instant"), F.struct(*df.columns).alias("row"))
+
+    held = placed(samples, False).withColumn("held", F.struct(*[F.col("row")[c].alias(c) for c in columns])).drop("row")
+    asked = placed(instants, True)
+    both = _chunked(held.unionByName(asked, allowMissingColumns=True), by, "when", chunk_micros)
+    last = both.groupBy(*by, "chunk").agg(F.max_by("held", F.when(~F.col("is_instant"), F.col("when"))).alias("last_held"))
+    earlier = Window.partitionBy(*by).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*by, "chunk", F.last("last_held", ignorenulls=True).over(earlier).alias("carried"))
+    local = Window.partitionBy(*by, "chunk").orderBy("when", "is_instant").rowsBetween(Window.unboundedPreceding, 0)
+    seen = _carry(both, carried, by).withColumn("held", F.coalesce(F.last("held", ignorenulls=True).over(local), "carried"))
+    return seen.where("is_instant").select("row.*", F.col("held").alias(name))

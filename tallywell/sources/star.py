@@ -1,6 +1,7 @@
 """Invoice lines and metric samples derived from the star-schema test tables."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,3 +127,49 @@ def metric_samples(spark: SparkSession, folder: str) -> DataFrame:
         F.col("value").cast("decimal(18,4)").alias("value"),
         F.col("event_id").alias("sample_id"),
     )
+
+
+#: Metrics of a run and of services from events: kind of event, metric, label ``instance`` kept, stage,
+#: factor by which time is pressed together, value (in SQL that Spark and DuckDB share).
+HISTORY = (
+    ("click", "pipeline_ventas_porcentaje_rechazo", True, "", 1, "value / 5"),
+    ("click", "pipeline_ventas_ejecucion_exitosa", True, "", 1, "CASE WHEN value < 10 THEN 0 ELSE 1 END"),
+    ("signup", "pipeline_ventas_ultima_ejecucion_exitosa_timestamp", True, "", 1, "floor(micros / 1000000) - floor(value)"),
+    ("view", "pipeline_ventas_duracion_segundos", True, "", 1, "value * 10"),
+    ("purchase", "pipeline_ventas_filas_procesadas", False, "agregacion", 1, "value"),
+    ("view", "pipeline_ventas_filas_procesadas", False, "ingesta", 1, "value"),
+    ("signup", "up", True, "", 1000, "CASE WHEN value < 40 THEN 0 ELSE 1 END"),
+    ("purchase", "pg_stat_activity_count", True, "", 1000, "floor(value)"),
+    ("view", "pg_settings_max_connections", False, "", 1000, "50 + floor(value / 4)"),
+    ("error", "airflow_ti_failures", False, "", 30, "floor(value / 150)"),
+    ("click", "airflow_scheduler_heartbeat", False, "", 10, "floor(value / 60)"),
+)
+HISTORY_START = 1_704_067_200_000_000
+
+
+def history_selects() -> list[tuple[str, str, str, str, str, str]]:
+    """Per metric: its source's filter and the SQL of its columns."""
+    return [
+        (
+            f"metric = '{kind}'",
+            f"'{metric}'",
+            "instance" if kept else "''",
+            f"'{stage}'",
+            f"CAST(floor((micros - {HISTORY_START}) / {factor}) AS BIGINT) + {HISTORY_START}",
+            f"CAST({value} AS DECIMAL(18,4))",
+        )
+        for kind, metric, kept, stage, factor, value in HISTORY
+    ]
+
+
+def metric_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as samples of the metrics that alerts watch: metric, instance, etapa, ts, value and sample id."""
+    events = metric_samples(spark, folder).withColumn("micros", F.unix_micros(F.col("ts").cast("timestamp")))
+    parts = [
+        events.where(kind).select(
+            F.expr(metric).alias("metric"), F.expr(instance).alias("instance"), F.expr(stage).alias("etapa"),
+            F.timestamp_micros(F.expr(at)).cast("timestamp_ntz").alias("ts"), F.expr(value).alias("value"), "sample_id",
+        )
+        for kind, metric, instance, stage, at, value in history_selects()
+    ]
+    return reduce(DataFrame.unionByName, parts)
