@@ -13,6 +13,7 @@ from tallywell.operators.revenue import add_line_revenue, business_kpis, revenue
 from tallywell.schema import DUPLICATE_KEYS
 from tallywell.session import materialize
 from tallywell.sources import star
+from tallywell.sources.typing import coerce_types
 
 AS_OF = date(2004, 6, 30)
 LIMITS = Q.Limits(as_of=AS_OF, max_reject_pct=99.0)
@@ -125,9 +126,13 @@ def verify_aggregate(spark: SparkSession, folder: str) -> DataFrame:
     + ", ".join(f"count(*) - count({c}) AS nulls_{c}" for c in star.SALES_COLUMNS)
     + ", min(sale_date) AS first_date, max(sale_date) AS last_date, "
     + ", ".join(f"count(DISTINCT {c}) AS distinct_{c}" for c in ("product_id", "invoice_id", "customer_id", "country"))
-    + " FROM sales", "sales"))
+    + """ FROM (SELECT * REPLACE (CASE WHEN l_returnflag <> 'R' THEN event_ts END AS event_ts,
+        CASE WHEN l_returnflag <> 'R' THEN sale_date END AS sale_date) FROM sales)""", "sales"))
 def profile_input(spark: SparkSession, folder: str) -> DataFrame:
-    return P.profile_input(star.sales_lines(spark, folder, star.SALES_COLUMNS))
+    """A third of the lines has a number where its date should be."""
+    lines = star.sales_lines(spark, folder, (*star.SALES_COLUMNS, "l_returnflag"))
+    shifted = F.when(F.col("l_returnflag") == "R", "17850").otherwise(F.col("event_ts").cast("string"))
+    return P.profile_input(coerce_types(lines.withColumn("event_ts", shifted).drop("sale_date", "l_returnflag")).select(*star.SALES_COLUMNS))
 
 
 @query("profile_sample", sql(

@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.catalog.base import query, sql
@@ -79,21 +79,42 @@ def read_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_sales_csv(spark, [f"{root}/{flag}" for flag in "ANR"]).select(*LINE)
 
 
+def write_lines(df: DataFrame, line: Column, path: str) -> None:
+    """Lines as they are, under the usual header."""
+    lines = df.select(line.alias(",".join(HEADERS)))
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "").option("escape", "").csv(path)
+
+
 @query("read_long_fields", sql(
     "SELECT invoice_id, product_id, quantity, length(description) AS description_chars FROM (SELECT invoice_id, product_id, "
-    "quantity, repeat('LONG, ', 20000) || product_id AS description FROM sales WHERE l_orderkey % 100 = 0 AND l_returnflag <> 'A')", "sales"))
+    "quantity, repeat('LONG, ', 500) || product_id AS description FROM sales WHERE l_returnflag <> 'A')", "sales"))
 def read_long_fields(spark: SparkSession, folder: str) -> DataFrame:
-    """Descriptions of 120,000 characters with delimiters and quotes; some lines have fields too many."""
-    text = raw_text(spark, folder, "l_returnflag", "l_orderkey").where("l_orderkey % 100 = 0").fillna("")
-    long = F.concat(F.lit('"'), F.repeat(F.lit("long, "), 20_000), F.trim("StockCode"), F.lit('"'))
+    """Descriptions of 3,000 characters with delimiters and quotes; some lines have fields too many."""
+    text = raw_text(spark, folder, "l_returnflag").fillna("")
+    long = F.concat(F.lit('"'), F.repeat(F.lit("long, "), 500), F.trim("StockCode"), F.lit('"'))
     fields = [long if h == "Description" else F.col(f"`{h}`") for h in HEADERS]
     line = F.when(F.col("l_returnflag") == "A", F.concat_ws(",", *fields, F.lit("too"), F.lit("many"))).otherwise(F.concat_ws(",", *fields))
     path = new_path(spark, "long.csv")
-    text.select(line.alias(",".join(HEADERS))).write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
+    write_lines(text, line, path)
     read = files.read_sales_csv(spark, path)
     return read.select("invoice_id", "product_id", "quantity", F.length("description").alias("description_chars"))
 
 
+@query("read_line_breaks", sql(
+    """SELECT invoice_id, product_id, quantity, unit_price, country,
+        CASE l_returnflag WHEN 'A' THEN 'FIRST ' || product_id || chr(10) || chr(10) || 'A "SECOND", LINE'
+            WHEN 'N' THEN 'PLAIN' ELSE '5" PIPE' END AS description FROM sales""", "sales"))
+def read_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Quoted descriptions over three lines, among others."""
+    text = raw_text(spark, folder, "l_returnflag")
+    broken = F.concat(F.lit("first "), F.trim("StockCode"), F.lit('\n\na "second", line'))
+    flag = F.col("l_returnflag")
+    description = F.when(flag == "A", broken).when(flag == "N", "plain").otherwise('5" pipe')
+    path = new_path(spark, "breaks")
+    write_text(text.withColumn("Description", description).drop("l_returnflag").repartition(2), path, ",")
+    return files.read_sales_csv(spark, path).select("invoice_id", "product_id", "quantity", "unit_price", "country", "description")
+
+
 @query(
     "infer_delimiter",
     "SELECT CASE l_returnflag WHEN 'A' THEN ';' WHEN 'N' THEN chr(9) ELSE '|' END AS delimiter, "
@@ -123,8 +144,7 @@ def drop_overlong_rows(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.concat_ws(",", *fields))
     )
     path = new_path(spark, "ragged.csv")
-    lines = text.select(ragged.alias(",".join(HEADERS)))
-    lines.write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
+    write_lines(text, ragged, path)
     return files.read_sales_csv(spark, path, delimiter=",").select(
         "invoice_id", "product_id", "quantity", "unit_price", "country"
     )
@@ -220,7 +240,7 @@ def coerce(spark: SparkSession, folder: str) -> DataFrame:
         F.when(flag == "A", F.concat(units, F.lit(".0"))).when(flag == "N", "diez")
         .otherwise(F.concat(units, F.lit(".5"))).alias("quantity"),
         F.when(flag == "A", F.date_format("event_ts", "M/d/yyyy H:mm:ss"))
-        .when(flag == "N", F.col("event_ts").cast("string")).otherwise("13/45/2009").alias("event_ts"),
+        .when(flag == "N", F.col("event_ts").cast("string")).otherwise(F.when(status == "F", "13/45/2009").otherwise("17850")).alias("event_ts"),
         F.when(status == "F", F.col("unit_price").cast("string")).otherwise("sin precio").alias("unit_price"),
         F.when(status == "O", F.concat(F.col("customer_id").cast("string"), F.lit(".0"))).otherwise("NaN").alias("customer_id"),
     )

@@ -27,6 +27,8 @@ _MONTHS = "january february march april may june july august september october n
 _MONTH_FIRST = r"^([A-Za-z]{3,9})\.? +([0-9]{1,2}),? +([0-9]{2}.*)$"
 _DAY_FIRST = r"^([0-9]{1,2})[ -]([A-Za-z]{3,9})\.?,?[ -]([0-9]{2}.*)$"
 _TWELVE_HOURS = r"(?i)^(.*[ T])([0-9]{1,2})(:[0-9]{2}(?::[0-9.]+)?) *([ap])\.?m\.?$"
+# Numbers that are no date by themselves, signed or long years, and times without a day.
+_NO_DATE = r"^([+-].*|[0-9]{1,7}|[0-9]{9,}|[0-9]{5,}[/. -].*|T?[0-9]{1,2}:.*)$"
 _OFFSET = r":[0-9.]+ *(?:Z|[+-][0-9]{2}:?[0-9]{2})$"
 
 
@@ -99,6 +101,8 @@ def parse_timestamp(col: Column) -> Column:
 
     Layouts: ISO, day and month as numbers in either order (month first wins), years
     of two digits, month names, 12-hour clocks. A time with an offset becomes UTC.
+    A bare number is a date with eight digits only, and years go from 1 to 9999, so
+    that every value read can be shown and written anywhere.
     Casts of text in the usual layout come first, so that the others cost it nothing.
     """
     text = strip(col.cast("string"))
@@ -116,4 +120,5 @@ def parse_timestamp(col: Column) -> Column:
     with_colon = F.regexp_replace(text, r" *([+-][0-9]{2}):?([0-9]{2})$", "$1:$2")
     with_seconds = F.regexp_replace(with_colon, r"([ T][0-9]{1,2}:[0-9]{2}) *(?=[+-]|Z)", "$1:00")
     usual = F.coalesce(plain(text), _bind(_usual_form(text), plain))
-    return F.when(text.rlike(_OFFSET), _bind(with_seconds, instant)).otherwise(usual)
+    read = F.when(text.rlike(_OFFSET), _bind(with_seconds, instant)).otherwise(usual)
+    return _bind(F.when(~text.rlike(_NO_DATE), read), lambda ts: F.when(F.year(ts).between(1, 9999), ts))

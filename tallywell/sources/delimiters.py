@@ -1,8 +1,10 @@
-"""Delimiter and header of each text file, from all of its lines."""
+"""Delimiter and header of each text file, from one scan of all of its lines."""
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywell.sources.records import opens_field
+
 # The delimiters tried, in order of preference.
 CANDIDATES = (",", ";", "\t", "|")
 
@@ -17,31 +19,45 @@ def separators(line: Column | str, delimiter: str) -> Column:
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(delimiter), F.lit("")))
 
 
-def scan_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """SRC3: ``path, delimiter, header`` of each file with a line that isn't blank.
+def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path, split, row, value`` of every line; within a split, rows count up."""
+    text = spark.read.option("recursiveFileLookup", "true").text(path)
+    # the scan names files as URIs
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path")
+    return text.select(file, F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"), "value")
+
+
+def scan_headers(spark: SparkSession, path: str | list[str], delimiter: str | None = None) -> DataFrame:
+    """SRC3: ``path, delimiter, header, breaks`` of each file with a line that isn't blank.
 
     A delimiter scores one point per line on which it occurs as often as in the
     header, the first such line. Without any point the most frequent one of the header
-    wins, and the comma when there is none. Points are added up in the tasks that
-    scan the lines.
+    wins, and the comma when there is none. ``breaks`` says whether some quoted field goes on
+    in another line. A ``delimiter`` that is given stands for all candidates. Tasks count their lines by how often each delimiter occurs, so the
+    header can be scored afterwards and the text is scanned once.
     """
-    text = spark.read.option("recursiveFileLookup", "true").text(path)
-    place = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"))
-    # the scan names files as URIs
-    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path")
-    lines = text.select("value", file, place.alias("place")).where(F.trim("value") != "")
-    headers = lines.groupBy("path").agg(F.min_by("value", "place").alias("header"))
-
-    times = [separators("value", c) for c in CANDIDATES]
-    in_header = [separators("header", c) for c in CANDIDATES]
-    points = [F.count_if((n == h) & (n > 0)).alias(f"points_{i}") for i, (n, h) in enumerate(zip(times, in_header))]
-    scored = lines.drop("place").join(headers.withColumnRenamed("path", "of"), F.col("path") == F.col("of"))
-    scored = scored.groupBy("path").agg(F.first("header").alias("header"), *points)
+    candidates = CANDIDATES if delimiter is None else (delimiter,)
+    lines = text_lines(spark, path).where(F.trim("value") != "")
+    times = [separators("value", c).alias(f"times_{i}") for i, c in enumerate(candidates)]
+    open_lines = [F.when(opens_field("value", c), 1).otherwise(0).alias(f"open_{i}") for i, c in enumerate(candidates)]
+    counted = lines.select("path", F.struct("split", "row").alias("place"), "value", *times, *open_lines)
+    names = [f"times_{i}" for i in range(len(candidates))]
+    alike = counted.groupBy("path", *names).agg(
+        F.count("*").alias("lines"), F.min("place").alias("place"), F.min_by("value", "place").alias("value"),
+        *[F.sum(f"open_{i}").alias(f"open_{i}") for i in range(len(candidates))],
+    )
+    first = alike.groupBy("path").agg(F.min_by(F.struct(F.col("value").alias("header"), *names), "place").alias("first"))
+    joined = alike.join(first.withColumnRenamed("path", "of"), F.col("path") == F.col("of"))
+    points = [
+        F.sum(F.when((F.col(n) > 0) & (F.col(n) == F.col("first")[n]), F.col("lines")).otherwise(0)).alias(f"points_{i}") for i, n in enumerate(names)
+    ]
+    scored = joined.groupBy("path").agg(F.first("first").alias("first"), *points, *[F.sum(f"open_{i}").alias(f"open_{i}") for i in range(len(candidates))])
     ranked = [
-        F.struct(F.col(f"points_{i}").alias("points"), in_header[i].alias("times"), F.lit(-i).alias("first"), F.lit(c).alias("delimiter"))
-        for i, c in enumerate(CANDIDATES)
+        F.struct(F.col(f"points_{i}").alias("points"), F.col("first")[n].alias("times"), F.lit(-i).alias("first"), F.lit(c).alias("delimiter"), (F.col(f"open_{i}") > 0).alias("breaks"))
+        for i, (n, c) in enumerate(zip(names, candidates))
     ]
-    return scored.select("path", F.greatest(*ranked)["delimiter"].alias("delimiter"), "header")
+    best = scored.select("path", F.array_max(F.array(*ranked)).alias("best"), F.col("first.header").alias("header"))
+    return best.select("path", "best.delimiter", "header", "best.breaks")
 
 
 def infer_delimiter(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 
 from tallywell import schema as S
 from tallywell.errors import IngestError
-from tallywell.sources.delimiters import scan_headers, separators
+from tallywell.session import materialize
+from tallywell.sources.delimiters import scan_headers, separators, text_lines
+from tallywell.sources.records import records
 from tallywell.sources.typing import coerce_types, rename_columns, require_columns
 
 # Name of the column with the text of a line whose number of fields is not the header's.
@@ -36,33 +38,28 @@ def read_csv_raw(
     paths: str | list[str],
     delimiter: str,
     null_tokens: Sequence[str] = (),
-    multi_line: bool = False,
     with_ordinal: bool = False,
+    breaks: bool = False,
 ) -> DataFrame:
     """SRC1/SRC2: every column as text under its source header.
 
-    Files are split across tasks; ``multi_line`` allows line breaks in quoted
-    fields at the price of one task per file. The parser sees whole lines even
-    when a query needs few columns: a pruned line has no wrong number of fields.
+    Files are split across tasks. Where ``breaks`` says that quoted fields go on over
+    several lines, lines are first put together to records, over splits too; a header
+    stands on one line. The parser sees whole lines even when a query needs few columns:
+    a pruned line has no wrong number of fields.
     """
-    options = {
-        "header": True,
-        "sep": delimiter,
-        "encoding": "UTF-8",
-        "multiLine": multi_line,
-        "escape": '"',
-        "columnPruning": False,
-    }
+    options = {"header": True, "sep": delimiter, "encoding": "UTF-8", "escape": '"', "columnPruning": False}
     headers = spark.read.options(**options).csv(paths).columns
     columns = [T.StructField(h, T.StringType()) for h in headers]
     schema = T.StructType([*columns, T.StructField(BAD_LINE, T.StringType())])
-    raw = (
-        spark.read.schema(schema)
-        .options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE, enforceSchema=True)
-        .csv(paths)
-    )
-    if with_ordinal:
-        raw = raw.select("*", text_ordinal().alias("ordinal"))
+    lenient = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+    if breaks:
+        raw = _parsed_records(spark, paths, delimiter, schema, options | lenient)
+        raw = raw if with_ordinal else raw.drop("ordinal")
+    else:
+        raw = spark.read.schema(schema).options(**options, **lenient, enforceSchema=True).csv(paths)
+        if with_ordinal:
+            raw = raw.select("*", text_ordinal().alias("ordinal"))
     raw = drop_overlong_rows(raw, delimiter)
     if null_tokens:
         raw = raw.withColumns(
@@ -71,6 +68,20 @@ def read_csv_raw(
     return raw
 
 
+def _parsed_records(spark: SparkSession, paths: str | list[str], delimiter: str, schema: T.StructType, options: dict) -> DataFrame:
+    """The records of files whose quoted fields have line breaks, without headers and blank lines."""
+    lines = materialize(text_lines(spark, paths), "lines")
+    found = records(lines, delimiter)
+    place = F.struct("split", "row")
+    filled = found.where(F.trim("value") != "").select("path", place.alias("place"), "value")
+    headers = lines.where(F.trim("value") != "").groupBy("path").agg(F.min(place).alias("header"))
+    rows = filled.join(headers, "path").where("place <> header")
+    text = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items() if k not in ("header", "columnPruning")}
+    ddl = ", ".join("`{}` string".format(name.replace("`", "``")) for name in schema.fieldNames())
+    parsed = rows.select(F.from_csv("value", ddl, text).alias("fields"), F.struct(F.col("path").alias("file"), "place.split", "place.row").alias("ordinal"))
+    return parsed.select("fields.*", "ordinal")
+
+
 def text_ordinal() -> Column:
     """Position of a line in its input: file, split, line of the split."""
     return F.struct(
@@ -99,27 +110,26 @@ def read_sales_csv(
     path: str | list[str],
     delimiter: str | None = None,
     null_tokens: Sequence[str] = (),
-    multi_line: bool = False,
     with_ordinal: bool = False,
 ) -> DataFrame:
-    """SRC1: typed invoice lines from delimited text.
+    """SRC1: typed invoice lines from delimited text; quoted fields may hold line breaks.
 
     Without a ``delimiter`` it is inferred per file from a scan of the text. Files are
-    read together where delimiter and header agree, each group under its own header, and
-    the groups are united by name; a header without the required columns is an error.
-    The driver gets a line per file, as it does for any listing.
+    read together where delimiter, header and the use of line breaks agree, each group under
+    its own header, and the groups are united by name; a header without the required columns
+    is an error. The driver gets a row per group, and the paths only of several groups.
     """
-    sep = F.lit(delimiter).alias("delimiter") if delimiter is not None else F.col("delimiter")
-    found = scan_headers(spark, path).select("path", sep, "header").orderBy("path").collect()
-    groups: dict[tuple[str, str], list[str]] = {}
-    for row in found:
-        groups.setdefault((row["delimiter"], row["header"]), []).append(row["path"])
-    if len(groups) <= 1:
-        groups = {next(iter(groups), (delimiter or ",", "")): path}
+    kinds = ["delimiter", "header", "breaks"]
+    found = materialize(scan_headers(spark, path, delimiter), "headers")
+    groups = found.groupBy(*kinds).agg(F.min("path").alias("path")).orderBy("path").collect()
     parts = []
-    for (sep, _), paths in groups.items():
-        raw = read_csv_raw(spark, paths, sep, null_tokens, multi_line, with_ordinal)
+    for group in groups:
+        same = [F.col(k) == F.lit(group[k]) for k in kinds]
+        paths = path if len(groups) == 1 else [r["path"] for r in found.where(same[0] & same[1] & same[2]).orderBy("path").collect()]
+        raw = read_csv_raw(spark, paths, group["delimiter"], null_tokens, with_ordinal, group["breaks"])
         parts.append(coerce_types(require_columns(rename_columns(raw))))
+    if not groups:
+        parts = [coerce_types(require_columns(rename_columns(read_csv_raw(spark, path, delimiter or ",", null_tokens, with_ordinal))))]
     return union_inputs(parts)
 
 

@@ -142,3 +142,12 @@ def test_exit_codes(spark, tmp_path):
     assert daily_run.exit_code(spark, path, str(tmp_path / "d"), unknown_option=1) == 2
     failed = spark.read.parquet(str(tmp_path / "b" / "run_metrics")).collect()
     assert [(r.metric, r.value) for r in failed] == [(M.M_SUCCESS, 0.0)]
+
+
+def test_a_number_in_the_date_column_is_one_rejected_line(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    good = [f"{k},22086,A,6,2010-01-02 03:04,2.50,7,UK" for k in range(1, 40)]
+    path.write_text("\n".join(["Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country", *good, "99,22087,B,6,17850,2.50,7,UK"]))
+    report = daily_run.run(spark, str(path), str(tmp_path / "out"))
+    assert (report["validation"]["input_rows"], report["validation"]["rejected_rows"]) == (40, 1)
+    assert report["quarantine"] and report["kpis"]["units_sold"] == 39 * 6

@@ -137,6 +137,15 @@ def test_invalid_bytes_do_not_stop_the_read(spark, tmp_path):
         ("2009-12-01 13:26:00Z", datetime(2009, 12, 1, 13, 26)),
         ("Decade 1 2009", None),
         ("12/1/2009 13:26 PM", None),
+        ("17850", None),
+        ("2009", None),
+        ("+17850-01-01", None),
+        ("-5", None),
+        ("17850-01-01", None),
+        ("0000-01-01", None),
+        ("9999-12-31", datetime(9999, 12, 31)),
+        ("12:30", None),
+        ("123456789", None),
     ],
 )
 def test_mixed_dates(spark, text, expected):
@@ -203,3 +212,58 @@ def test_sample_keeps_whole_groups(spark):
 def test_union_fills_missing_columns(spark):
     both = files.union_inputs([valid(spark), valid(spark).drop("country")])
     assert both.count() == 10 and both.where("country is null").count() == 5
+
+
+HEADER = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country"
+
+
+def read_back(spark, path, **options):
+    df = files.read_sales_csv(spark, path, **options)
+    return sorted((r.invoice_id, r.description, r.quantity, r.country) for r in df.collect())
+
+
+def test_line_breaks_in_quoted_fields(spark, tmp_path):
+    body = [
+        '1,22086,"two\nlines",7,12/1/2010 8:26,4.00,17850,France',
+        '2,22087,plain,6,12/1/2010 8:26,4.00,17850,France',
+        '3,22088,"a ""quoted"" word,\n\n and, blank ""\n"" lines",5,12/1/2010 8:26,4.00,17850,"United\nKingdom"',
+        '4,22089,5" pipe,4,12/1/2010 8:26,4.00,17850,Spain',
+        '5,22090,"closed",3,12/1/2010 8:26,4.00,17850,"Spain"',
+    ]
+    path = put(tmp_path, "a.csv", "\n".join([HEADER, *body]) + "\n")
+    assert read_back(spark, path) == [
+        ("1", "TWO\nLINES", 7, "FRANCE"), ("2", "PLAIN", 6, "FRANCE"),
+        ("3", 'A "QUOTED" WORD,\n\n AND, BLANK "\n" LINES', 5, "UNITED\nKINGDOM"), ("4", '5" PIPE', 4, "SPAIN"), ("5", "CLOSED", 3, "SPAIN"),
+    ]
+    assert read_back(spark, path, delimiter=",") == read_back(spark, path)
+    with_place = files.read_sales_csv(spark, path, with_ordinal=True).orderBy("ordinal")
+    assert [r.invoice_id for r in with_place.collect()] == ["1", "2", "3", "4", "5"]
+
+
+def test_records_over_many_splits(spark, tmp_path):
+    """Splits of 200 bytes cut records anywhere, some records cover several splits."""
+    lines, expected = [HEADER], []
+    for k in range(120):
+        breaks = (0, 1, 0, 30)[k % 4]
+        text = "".join(f"part {j}\n" for j in range(breaks)) + f"end {k}"
+        lines.append(f'{k},2208,"{text}",{k + 1},12/1/2010 8:26,4.00,17850,France')
+        expected.append((str(k), text.upper(), k + 1, "FRANCE"))
+    put(tmp_path, "in/a.csv", "\n".join(lines))
+    put(tmp_path, "in/b.csv", "\n".join(line.replace(",", ";") for line in [HEADER, "900,1,plain,1,12/1/2010 8:26,4.00,17850,Spain"]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        assert read_back(spark, str(tmp_path / "in")) == sorted([*expected, ("900", "PLAIN", 1, "SPAIN")])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_quote_that_never_ends_spoils_its_own_line_only(spark, tmp_path):
+    body = ['1,22086,"open,7,12/1/2010 8:26,4.00,17850,France', "2,22087,B,6,12/1/2010 8:26,4.00,17850,France", "3,22087,C,6,12/1/2010 8:26,4.00,17850,France"]
+    found = read_back(spark, put(tmp_path, "a.csv", "\n".join([HEADER, *body])))
+    assert [r[0] for r in found] == ["1", "2", "3"] and found[1:] == [("2", "B", 6, "FRANCE"), ("3", "C", 6, "FRANCE")]
+
+
+def test_too_many_fields_in_records_of_several_lines(spark, tmp_path):
+    body = ['1,22086,"two\nlines",7,12/1/2010 8:26,4.00,17850,France,too,many', '2,22087,"two\nlines",6,12/1/2010 8:26,4.00', "3,22087,C,6,12/1/2010 8:26,4.00,17850,France,x"]
+    assert read_back(spark, put(tmp_path, "a.csv", "\n".join([HEADER, *body]))) == [("2", "TWO\nLINES", 6, None)]
