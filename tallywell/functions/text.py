@@ -78,10 +78,10 @@ def _usual_form(text: Column) -> Column:
     second = [F.regexp_extract(text, _DAY_FIRST, k) for k in (2, 1, 3)]
     spelled = [F.concat(_month_number(name), F.lit("/"), day, F.lit("/"), rest) for name, day, rest in (first, second)]
     named = F.coalesce(*spelled, text)
-    return _bind(named, _long_year_and_clock)
+    return bind(named, _long_year_and_clock)
 
 
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is computed once, however often it stands in it."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -119,6 +119,6 @@ def parse_timestamp(col: Column) -> Column:
 
     with_colon = F.regexp_replace(text, r" *([+-][0-9]{2}):?([0-9]{2})$", "$1:$2")
     with_seconds = F.regexp_replace(with_colon, r"([ T][0-9]{1,2}:[0-9]{2}) *(?=[+-]|Z)", "$1:00")
-    usual = F.coalesce(plain(text), _bind(_usual_form(text), plain))
-    read = F.when(text.rlike(_OFFSET), _bind(with_seconds, instant)).otherwise(usual)
-    return _bind(F.when(~text.rlike(_NO_DATE), read), lambda ts: F.when(F.year(ts).between(1, 9999), ts))
+    usual = F.coalesce(plain(text), bind(_usual_form(text), plain))
+    read = F.when(text.rlike(_OFFSET), bind(with_seconds, instant)).otherwise(usual)
+    return bind(F.when(~text.rlike(_NO_DATE), read), lambda ts: F.when(F.year(ts).between(1, 9999), ts))

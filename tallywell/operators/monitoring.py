@@ -5,6 +5,7 @@ is one combination of metric and labels.
 """
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallywell import schema as S
 from tallywell.functions import numbers as N
+from tallywell.functions.text import bind
 from tallywell.operators import series as T
 from tallywell.operators.checks import reconcile_totals
 from tallywell.session import materialize
@@ -242,39 +244,66 @@ METRIC_PATTERNS = (
 METRIC_REST = (r"^airflow\.(.+)$", "airflow_")
 
 
-def _pattern_regex(pattern: str) -> str:
-    return "^" + pattern.replace(".", r"\.").replace("*", "([^.]+)") + "$"
+@dataclass
+class _Node:
+    """A place in the trie of patterns: what may follow, and the number of the pattern that ends here."""
+
+    parts: dict[str, "_Node"] = field(default_factory=dict)
+    pattern: int | None = None
+
+
+def _trie() -> _Node:
+    root = _Node()
+    for number, (pattern, _, _) in enumerate(METRIC_PATTERNS):
+        node = root
+        for part in pattern.split("."):
+            node = node.parts.setdefault(part, _Node())
+        node.pattern = number if node.pattern is None else node.pattern
+    return root
+
+
+def _first_pattern(parts: Column, node: _Node, depth: int = 0) -> Column:
+    """Number of the first pattern that the parts of a name match, null for none; each part is compared along its branch only."""
+    here = F.get(parts, F.lit(depth))
+    found = []
+    if node.pattern is not None:
+        found.append(F.when(F.size(parts) == depth, F.lit(node.pattern)))
+    for part, below in node.parts.items():
+        fits = here != "" if part == "*" else here == part
+        found.append(F.when(fits, _first_pattern(parts, below, depth + 1)))
+    # least() passes over nulls
+    return F.least(*found) if len(found) > 1 else found[0]
+
+
+def _named(source: Column, parts: Column, number: Column) -> Column:
+    """Struct of the stable name and the labels of a name whose pattern is known."""
+    regex, prefix = METRIC_REST
+    rest = F.concat(F.lit(prefix), F.regexp_replace(F.regexp_extract(source, regex, 1), "[^a-zA-Z0-9_]", "_"))
+    names = F.array(*[F.lit(name) for _, name, _ in METRIC_PATTERNS])
+    name = F.coalesce(F.get(names, number), F.when(source.rlike(regex), rest), source)
+    empty = F.create_map().cast("map<string,string>")
+    labels = F.when(number.isNull(), empty)
+    for k, (pattern, _, values) in enumerate(METRIC_PATTERNS):
+        stars = [i for i, part in enumerate(pattern.split(".")) if part == "*"]
+        pairs = [
+            x
+            for key, value in values.items()
+            for x in (F.lit(key), F.get(parts, F.lit(stars[int(value[1:]) - 1])) if value.startswith("$") else F.lit(value))
+        ]
+        labels = labels.when(number == k, F.create_map(*pairs) if pairs else empty)
+    return F.struct(name.alias("name"), labels.alias("labels"))
 
 
 def relabel_metrics(df: DataFrame, name: str = "metric") -> DataFrame:
     """MN12: dotted metric names as a stable name and a map of labels.
 
-    Names of no pattern keep their name and get no labels.
+    Each name is split once and walked through the trie of all patterns. Names of no
+    pattern keep their name and get no labels.
     """
     source = F.col(name)
-    new_name, labels = None, None
-    no_labels = F.lit(None).cast("map<string,string>")
-    for pattern, target, label_values in METRIC_PATTERNS:
-        regex = _pattern_regex(pattern)
-        hit = source.rlike(regex)
-        pairs = [
-            part
-            for key, value in label_values.items()
-            for part in (
-                F.lit(key),
-                F.regexp_extract(source, regex, int(value[1:])) if value.startswith("$") else F.lit(value),
-            )
-        ]
-        found = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-        new_name = F.when(hit, target) if new_name is None else new_name.when(hit, target)
-        labels = F.when(hit, found) if labels is None else labels.when(hit, found)
-    regex, prefix = METRIC_REST
-    rest = F.concat(F.lit(prefix), F.regexp_replace(F.regexp_extract(source, regex, 1), "[^a-zA-Z0-9_]", "_"))
-    new_name = new_name.when(source.rlike(regex), rest).otherwise(source)
-    empty = F.create_map().cast("map<string,string>")
-    return df.withColumns(
-        {"metric_name": new_name, "labels": F.coalesce(labels.otherwise(no_labels), empty)}
-    )
+    found = bind(F.split(source, r"\.", -1), lambda parts: bind(_first_pattern(parts, _trie()), lambda number: _named(source, parts, number)))
+    told = df.withColumn("_named", found)
+    return told.withColumns({"metric_name": F.col("_named.name"), "labels": F.coalesce("_named.labels", F.create_map().cast("map<string,string>"))}).drop("_named")
 
 
 # Rows of a run.

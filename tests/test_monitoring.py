@@ -128,11 +128,19 @@ def test_relabel(spark):
         "airflow.dag.daily.load.duration": ("airflow_tarea_duracion_segundos", {"grafo": "daily", "tarea": "load"}),
         "airflow.ti.finish.daily.load.failed": ("airflow_tarea_finalizada_total", {"grafo": "daily", "tarea": "load", "estado": "failed"}),
         "airflow.scheduler_heartbeat": ("airflow_scheduler_heartbeat", {}),
+        "airflow.dag.daily.load": ("airflow_dag_daily_load", {}),
+        "airflow.dag..load.duration": ("airflow_dag__load_duration", {}),
+        "airflow.dagrun.duration.success.daily.more": ("airflow_dagrun_duration_success_daily_more", {}),
+        "airflow.executor.open_slots": ("airflow_ranuras_libres", {}),
+        "airflow.": ("airflow.", {}),
+        "": ("", {}),
         "airflow.other.thing-x": ("airflow_other_thing_x", {}),
         "unknown": ("unknown", {}),
     }
     out = M.relabel_metrics(spark.createDataFrame([(n,) for n in names], "metric string")).collect()
     assert {r.metric: (r.metric_name, r.labels) for r in out} == names
+    nothing = M.relabel_metrics(spark.createDataFrame([(None,)], "metric string")).first()
+    assert nothing.metric_name is None and nothing.labels == {}
 
 
 def test_watch_metrics():
