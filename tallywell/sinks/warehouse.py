@@ -1,6 +1,7 @@
 """Warehouse tables: full-replace loads and layer materialisation."""
 
 import logging
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -48,64 +49,127 @@ def _location(spark: SparkSession, table: str) -> str:
     return described.first()["data_type"]
 
 
-def replace_table(df: DataFrame, table: str, unique: Sequence[tuple[str, ...]] = ()) -> LoadResult:
-    """SK7: replace the whole content of a table.
-
-    The new rows are written once, to a new folder beside the table's, and only then is
-    the table pointed at them: a load that fails in any way leaves the table as it was,
-    and a frame that reads the table can replace it. With the same columns the table
-    object stays, views on it remain valid and values are cast to its types, so that one
-    that doesn't fit fails the load; with others it is made anew. ``unique`` names sets
-    of columns that must not repeat (SK12), which is checked before the switch. An empty
-    input is skipped. The rows replaced are deleted.
-    """
+#: Property of a table that names the folder its rows were in before the last load.
+PREVIOUS = "previous_location"
+
+
+@dataclass
+class _Load:
+    """New rows of a table that are written and checked, and how to show them."""
+
+    table: str
+    path: str
+    rows: int
+    old: str | None
+    same: bool
+    spark: SparkSession
+
+    def point_at(self, path: str, previous: str | None) -> None:
+        """Show the rows of a folder under the table's name."""
+        if self.same:
+            self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{path}'")
+            self.spark.catalog.refreshTable(self.table)
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+            self.spark.sql(f"CREATE TABLE {self.table} USING parquet LOCATION '{path}'")
+        if previous:
+            self.spark.sql(f"ALTER TABLE {self.table} SET TBLPROPERTIES ('{PREVIOUS}' = '{previous}')")
+
+    def result(self) -> LoadResult:
+        return LoadResult(self.table, self.rows, SKIPPED if not self.rows else RELOADED if self.same else RECREATED if self.old else CREATED)
+
+
+def _written(df: DataFrame, table: str, unique: Sequence[tuple[str, ...]]) -> _Load:
+    """Write the new rows beside a table and check them; nothing that is shown changes."""
     spark = df.sparkSession
     database, _, name = table.rpartition(".")
     database = database or spark.catalog.currentDatabase()
-    path = ""
+    known = spark.table(table).schema if spark.catalog.tableExists(table) else None
+    same = known is not None and set(known.names) == set(df.columns)
+    if same:
+        df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in known])
+    path = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     try:
-        known = spark.table(table).schema if spark.catalog.tableExists(table) else None
-        same = known is not None and set(known.names) == set(df.columns)
-        if same:
-            df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in known])
-        path = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         df.write.parquet(path)
         written = spark.read.schema(df.schema).parquet(path)
         rows = written.count()
         repeated = [k for k in unique if rows and not check_unique(written, *k).isEmpty()]
         if repeated:
             raise LoadError(f"{repeated} repeat")
-        if rows == 0:
-            _remove(spark, path)
-            return LoadResult(table, 0, SKIPPED)
-        old = _location(spark, table) if known is not None else None
-        if same:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(table)
-        else:
-            if old:
-                log.warning("columns of %s changed, it is made anew; build the layers again", table)
-                spark.sql(f"DROP TABLE {table}")
-            spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+        return _Load(table, path, rows, _location(spark, table) if known is not None else None, same, spark)
+    except Exception:
+        _remove(spark, path)
+        raise
+
+
+def _previous(spark: SparkSession, table: str) -> str | None:
+    """The folder that the last load left behind, if it is one that a load made."""
+    if not spark.catalog.tableExists(table):
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == PREVIOUS).first()
+    made = re.compile(rf"/{re.escape(table.rpartition('.')[2])}-[0-9a-f]{{32}}/?$")
+    return found["value"] if found and made.search(found["value"]) else None
+
+
+def replace_tables(frames: dict[str, DataFrame], unique: dict[str, Sequence[tuple[str, ...]]] | None = None) -> dict[str, LoadResult]:
+    """SK7/SK8: replace the whole content of several tables, all or none.
+
+    All new rows are written first, to new folders beside the tables, and checked; only
+    then are the tables pointed at them, which moves no rows. A load that fails in any way
+    leaves all tables as they were: what was switched already is switched back. A frame that
+    reads a table can replace it. With the same columns the table object stays, views on it
+    remain valid and values are cast to its types, so that one that doesn't fit fails the
+    load; with others it is made anew. ``unique`` names sets of columns that must not repeat
+    (SK12). Empty inputs are skipped. The rows replaced stay until the next load, as readers
+    may be in the middle of them; the ones before them are deleted then.
+    """
+    loads: list[_Load] = []
+    switched: list[_Load] = []
+    table = ""
+    try:
+        for table, df in frames.items():
+            loads.append(_written(df, table, (unique or {}).get(table, ())))
+        stale = {load.table: _previous(load.spark, load.table) for load in loads if load.rows}
+        for load in loads:
+            table = load.table
+            if load.rows:
+                if load.old and not load.same:
+                    log.warning("columns of %s changed, it is made anew; build the layers again", table)
+                switched.append(load)
+                load.point_at(load.path, load.old)
     except Exception as error:
-        if path:
-            _remove(spark, path)
+        for load in switched:
+            if load.old:
+                load.point_at(load.old, None)
+            else:
+                load.spark.sql(f"DROP TABLE IF EXISTS {load.table}")
+        for load in loads:
+            _remove(load.spark, load.path)
         raise LoadError(f"could not load the table {table}: {error}") from error
-    if old:
-        _remove(spark, old)
-    return LoadResult(table, rows, RELOADED if same else RECREATED if old else CREATED)
+    for load in loads:
+        if not load.rows:
+            _remove(load.spark, load.path)
+        elif stale[load.table]:
+            _remove(load.spark, stale[load.table])
+    return {load.table: load.result() for load in loads}
+
+
+def replace_table(df: DataFrame, table: str, unique: Sequence[tuple[str, ...]] = ()) -> LoadResult:
+    """SK7: replace the whole content of one table, as ``replace_tables`` does."""
+    return replace_tables({table: df}, {table: unique})[table]
 
 
 def load_results(
     spark: SparkSession, results: dict[str, DataFrame], database: str = "raw", location: str | None = None
 ) -> dict[str, LoadResult]:
-    """SK8: load the result tables; a warehouse out of reach stops no run."""
+    """SK8: load the result tables, all or none; a warehouse out of reach stops no run."""
     try:
         ensure_database(spark, database, location)
     except LoadError as error:
         log.warning("the warehouse load is skipped: %s", error)
         return {}
-    return {name: replace_table(df, f"{database}.{name}") for name, df in results.items()}
+    loaded = replace_tables({f"{database}.{name}": df for name, df in results.items()})
+    return {name: loaded[f"{database}.{name}"] for name in results}
 
 
 def build_layers(
@@ -119,9 +183,9 @@ def build_layers(
     enriched = materialize(enrich_sales(prepare_sales(spark.table(source_table))), "enriched_sales")
     enriched.createOrReplaceTempView(enriched_view(database))
     ensure_database(spark, database, location)
-    return {
-        name: replace_table(build(enriched), f"{database}.{name}", UNIQUE_KEYS.get(name, ())) for name, build in PUBLISHED.items()
-    }
+    frames = {f"{database}.{name}": build(enriched) for name, build in PUBLISHED.items()}
+    loaded = replace_tables(frames, {f"{database}.{name}": UNIQUE_KEYS.get(name, ()) for name in PUBLISHED})
+    return {name: loaded[f"{database}.{name}"] for name in PUBLISHED}
 
 
 def enriched_view(database: str) -> str:

@@ -97,7 +97,40 @@ def test_a_load_that_overflows_leaves_the_old_rows(spark, tmp_path):
         W.replace_table(spark.sql("select id + 3000000000 a from range(9)"), "kept.t")
     assert sorted(r.a for r in spark.table("kept.t").collect()) == [0, 1, 2, 3, 4]
     assert W.replace_table(spark.sql("select id a from range(2)"), "kept.t").mode == W.RELOADED
-    assert spark.table("kept.t").dtypes == [("a", "int")] and len(list((tmp_path / "db").iterdir())) == 1
+    # The rows before stay for readers until the next load.
+    assert spark.table("kept.t").dtypes == [("a", "int")] and len(list((tmp_path / "db").iterdir())) == 2
+    W.replace_table(spark.sql("select id a from range(3)"), "kept.t")
+    assert len(list((tmp_path / "db").iterdir())) == 2 and spark.table("kept.t").count() == 3
+
+
+def test_readers_of_the_replaced_rows_go_on(spark, tmp_path):
+    W.ensure_database(spark, "read", str(tmp_path / "db"))
+    W.replace_table(spark.sql("select id a from range(5)"), "read.t")
+    held = spark.table("read.t")
+    W.replace_table(spark.sql("select id a from range(2)"), "read.t")
+    assert held.count() == 5 and spark.table("read.t").count() == 2
+
+
+def test_several_tables_are_switched_together(spark, tmp_path, monkeypatch):
+    W.ensure_database(spark, "many", str(tmp_path / "db"))
+    names = ["many.a", "many.b", "many.c"]
+    assert [r.mode for r in W.replace_tables({n: spark.sql("select 1 v") for n in names}).values()] == [W.CREATED] * 3
+    bad = spark.sql("select cast(raise_error('no') as int) v")
+    with pytest.raises(LoadError, match="many.c"):
+        W.replace_tables({n: bad if n == "many.c" else spark.sql("select 2 v union all select 3") for n in names})
+    assert [spark.table(n).count() for n in names] == [1, 1, 1]
+    point_at = W._Load.point_at
+
+    def fail(load, path, previous):
+        if load.table == "many.c" and path == load.path:
+            raise ValueError("no")
+        point_at(load, path, previous)
+
+    monkeypatch.setattr(W._Load, "point_at", fail)
+    with pytest.raises(LoadError, match="many.c"):
+        W.replace_tables({n: spark.sql("select 2 v union all select 3") for n in names} | {"many.d": spark.sql("select 1 v")})
+    assert [spark.table(n).count() for n in names] == [1, 1, 1] and not spark.catalog.tableExists("many.d")
+    assert len(list((tmp_path / "db").iterdir())) == 3
 
 
 def test_repeated_keys_are_not_published(spark, tmp_path):
