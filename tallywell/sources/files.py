@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,9 +133,25 @@ def read_sales_csv(
     return union_inputs(parts)
 
 
-def read_sales_parquet(spark: SparkSession, path: str | list[str], with_ordinal: bool = False) -> DataFrame:
-    """SRC4: typed invoice lines from Parquet with source or model headers."""
-    raw = spark.read.parquet(*([path] if isinstance(path, str) else path))
+def first_files(spark: SparkSession, path: str, n: int) -> list[str]:
+    """The Parquet files, in order of their names, that hold the first n rows; n files at most.
+
+    Rows are counted without their columns, which reads no more than the footers.
+    """
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    counts = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("place"), file.alias("file")).agg(F.count("*").alias("rows"))
+    before = F.sum("rows").over(Window.orderBy("place")) - F.col("rows")
+    needed = counts.withColumn("before", before).where(F.col("before") < n).orderBy("place")
+    return [r["file"] for r in needed.select("file").collect()]
+
+
+def read_sales_parquet(spark: SparkSession, path: str | list[str], with_ordinal: bool = False, base: str | None = None) -> DataFrame:
+    """SRC4: typed invoice lines from Parquet with source or model headers.
+
+    ``base`` is the folder whose layout gives partition columns to single files in it.
+    """
+    reader = spark.read.option("basePath", base) if base else spark.read
+    raw = reader.parquet(*([path] if isinstance(path, str) else path))
     if with_ordinal:
         raw = raw.select("*", parquet_ordinal().alias("ordinal"))
     return coerce_types(require_columns(rename_columns(raw)))
@@ -150,12 +166,16 @@ def read_sales(
 ) -> DataFrame:
     """SRC6: choose the reader by extension; every failure is an ``IngestError``.
 
-    ``max_rows`` keeps the first rows of the input.
+    ``max_rows`` keeps the first rows of the input; of Parquet only the files that hold them are read.
     """
     chosen = input_format(path, file_format)
     try:
         ordered = options.pop("with_ordinal", False)
         read = read_sales_csv if chosen == "csv" else read_sales_parquet
+        if chosen == "parquet" and max_rows:
+            found = first_files(spark, path, max_rows)
+            if found and not found[0].endswith(path):
+                path, options = found, options | {"base": path}
         sales = read(spark, path, with_ordinal=ordered or max_rows is not None, **options)
         if max_rows is not None:
             sales = limit_rows(sales, max_rows, "ordinal")

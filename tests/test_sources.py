@@ -267,3 +267,18 @@ def test_a_quote_that_never_ends_spoils_its_own_line_only(spark, tmp_path):
 def test_too_many_fields_in_records_of_several_lines(spark, tmp_path):
     body = ['1,22086,"two\nlines",7,12/1/2010 8:26,4.00,17850,France,too,many', '2,22087,"two\nlines",6,12/1/2010 8:26,4.00', "3,22087,C,6,12/1/2010 8:26,4.00,17850,France,x"]
     assert read_back(spark, put(tmp_path, "a.csv", "\n".join([HEADER, *body]))) == [("2", "TWO\nLINES", 6, None)]
+
+
+def test_row_cap_reads_the_files_of_the_first_rows_only(spark, tmp_path):
+    path = str(tmp_path / "many x")
+    frame = valid(spark).unionByName(valid(spark))
+    frame.withColumn("year", frame.event_ts.substr(1, 4)).repartition(5).write.partitionBy("year").parquet(path)
+    every = files.read_sales(spark, path, "parquet", with_ordinal=True).orderBy("ordinal").select("invoice_id", "product_id").collect()
+    for n in (1, 3, 10, 50):
+        capped = files.read_sales(spark, path, "parquet", max_rows=n)
+        assert capped.select("invoice_id", "product_id").collect() == every[:n]
+        assert "year" in capped.columns
+    read = files.first_files(spark, path, 1)
+    assert len(read) == 1 and len(files.first_files(spark, path, 50)) == len(set(spark.read.parquet(path).inputFiles()))
+    assert len(files.read_sales(spark, path, "parquet", max_rows=1).inputFiles()) == 1
+    assert files.read_sales(spark, read[0], "parquet", max_rows=1).count() == 1
