@@ -1,10 +1,11 @@
-"""Revenue by country. Windows run over one row per country."""
+"""Revenue by country."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywell.functions import numbers as N
 from tallywell.functions.segments import add_market_type
+from tallywell.operators.ranges import in_ranges
 from tallywell.schema import TOTAL
 
 CONCENTRATION_SCHEMA = (
@@ -30,16 +31,9 @@ def country_concentration(detail: DataFrame) -> DataFrame:
     if "country" not in detail.columns:
         return detail.sparkSession.createDataFrame([], CONCENTRATION_SCHEMA)
     grand_total = detail.agg(F.sum("line_revenue")).scalar()
-    in_order = Window.orderBy(F.desc("total_revenue"), F.asc("country"))
-    return (
-        country_totals(detail)
-        .withColumn("share_pct", N.percent(F.col("total_revenue"), grand_total, 3))
-        .withColumn(
-            "cumulative_share_pct",
-            F.sum("share_pct").over(in_order.rowsBetween(Window.unboundedPreceding, 0)),
-        )
-        .orderBy(F.desc("total_revenue"), F.asc("country"))
-    )
+    order = [F.desc("total_revenue"), F.asc("country")]
+    shares = country_totals(detail).withColumn("share_pct", N.percent(F.col("total_revenue"), grand_total, 3))
+    return in_ranges(shares, order, {"share_pct": "cumulative_share_pct"}).orderBy(*order)
 
 
 def country_totals_wh(enriched: DataFrame) -> DataFrame:
@@ -60,10 +54,9 @@ def country_totals_wh(enriched: DataFrame) -> DataFrame:
 def country_sales_wh(enriched: DataFrame) -> DataFrame:
     """WN12: published country table."""
     grand_total = enriched.agg(F.sum("line_revenue")).scalar()
-    in_order = Window.orderBy(F.desc("total_revenue"), F.asc("country"))
+    order = [F.desc("total_revenue"), F.asc("country")]
     ranked = (
-        country_totals_wh(enriched)
-        .withColumn("position", F.row_number().over(in_order))
+        in_ranges(country_totals_wh(enriched), order, {}, "position")
         .withColumn("mean_ticket", N.ratio(F.col("total_revenue"), F.col("distinct_invoices"), 2))
         .withColumn("share_pct", N.percent(F.col("total_revenue"), grand_total, 4))
     )

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywell.functions import numbers as N
+from tallywell.operators.ranges import in_ranges
 from tallywell.operators.revenue import modal_value, product_totals
 from tallywell.schema import MONTHLY_RANKING_SIZE, PUBLISHED_RANKING_SIZE, TOTAL
 from tallywell.session import materialize
@@ -207,18 +208,8 @@ def product_ranking_wh(enriched: DataFrame, n: int = PUBLISHED_RANKING_SIZE) ->
 def pareto_count(totals: DataFrame, share: int = 80) -> DataFrame:
     """ST4: how many products, by falling revenue, stay within a cumulative share.
 
-    ``totals`` has a row per product with ``total_revenue``. Products are dealt out by
-    ranges of revenue and written; a task adds up its range, and the sums of the ranges
-    before, one number each, are added to it.
+    ``totals`` has a row per product with ``total_revenue``.
     """
-    order = _by_revenue("product_id")
-    ranges = totals.select("product_id", "total_revenue").repartitionByRange(*order)
-    ranges = materialize(ranges.withColumn("part", F.spark_partition_id()), "revenue_ranges")
-    sums = ranges.groupBy("part").agg(F.sum("total_revenue").alias("of_part"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("part", F.coalesce(F.sum("of_part").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    running = ranges.withColumn("running", F.sum("total_revenue").over(inside)).join(sums, "part")
-    grand_total = ranges.agg(F.sum("total_revenue")).scalar()
-    within = N.percent(F.col("running") + F.col("before"), grand_total, 4) <= share
-    return running.where(within).agg(F.count("*").alias("products"))
+    running = in_ranges(totals.select("product_id", "total_revenue"), _by_revenue("product_id"), {"total_revenue": "running"})
+    grand_total = totals.agg(F.sum("total_revenue")).scalar()
+    return running.where(N.percent(F.col("running"), grand_total, 4) <= share).agg(F.count("*").alias("products"))
