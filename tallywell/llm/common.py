@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallywell.session import new_path
 
-__all__ = ["crc32_mod", "id_and_text", "in_slices", "materialize", "sha256_of_ids", "text_batches"]
+__all__ = ["annotate", "bitmap_of", "crc32_mod", "id_and_text", "in_slices", "materialize", "sha256_of_ids", "text_batches"]
 
 #: Bytes of text that a task turns into Python objects at a time.
 SLICE_BYTES = 4 << 20
@@ -63,6 +63,19 @@ def sha256_of_ids(ids: Column) -> Column:
     return F.sha2(F.concat_ws(",", ids.cast("array<string>")), 256)
 
 
+def bitmap_of(slots: DataFrame, bits: int) -> bytes:
+    """The values of the column ``slot`` as one bitmap of 2^bits places, least bit first.
+
+    Tasks unite bitmaps of 4 kB; what the driver gets is bounded by ``bits``, whatever the input.
+    """
+    part = F.shiftright("slot", 15).cast("int").alias("part")
+    parts = slots.groupBy(part).agg(F.bitmap_construct_agg(F.col("slot") % 32768).alias("bits"))
+    found = bytearray((1 << bits) // 8)
+    for row in parts.toLocalIterator():
+        found[row["part"] * 4096 : row["part"] * 4096 + len(row["bits"])] = row["bits"]
+    return bytes(found)
+
+
 def annotate(docs: DataFrame, text_col: str, work: Callable[[pa.RecordBatch], list[pa.Array]], fields: str) -> DataFrame:
     """``row`` (a struct of all columns of ``docs``) and the ``fields`` that ``work`` computes.
 

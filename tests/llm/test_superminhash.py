@@ -92,11 +92,34 @@ def test_components_equal_brute_force(spark, odd_rows):
     assert superminhash.near_duplicates(documents(spark, [(4, None), (None, " ")])).count() == 2
 
 
-def test_one_group_of_many_near_copies(spark):
-    """Quadratic work is not done: the first rounds unite nearly all."""
-    rows = near_copies(np.random.default_rng(6), 1, 400, 5)
-    found = superminhash.near_duplicates(documents(spark, rows)).collect()
-    assert len(found) == 400 and Counter(map(tuple, found)) == plain_result(rows)
+def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
+    """Most copies are linked with none, some with a few others only; blocks are of any size."""
+    rows = near_copies(np.random.default_rng(6), 2, 200, 16)
+    for pivots, block in (((1, 16), 512), ((1, 2), 20)):
+        monkeypatch.setattr(superminhash, "PIVOTS", pivots)
+        monkeypatch.setattr(superminhash, "BLOCK_CLASSES", block)
+        found = superminhash.near_duplicates(documents(spark, rows)).collect()
+        assert Counter(map(tuple, found)) == plain_result(rows)
+
+
+def test_cell_links_unite_what_is_linked():
+    rng = np.random.default_rng(7)
+    base = np.arange(5000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[: rng.integers(4000, 5000)], rng.integers(6000, 9000, 300, dtype=np.uint64)])) for _ in range(40)]
+    for k, i, j in ((k, i, j) for k in (7,) for i in range(k) for j in range(k, 12)):
+        assert superminhash._common(sets[:k], sets[k:12])[i, j - k] == len(np.intersect1d(sets[i], sets[j]))
+    roots = np.arange(40) // 2
+    found = superminhash.cell_links((np.arange(20), roots[:20], sets[:20]), (np.arange(20, 40), roots[20:], sets[20:]), 80)
+    linked = [(i, j) for i in range(20) for j in range(20, 40) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
+
+    def groups(pairs):
+        root = list(range(20))
+        for i, j in pairs:
+            a, b = root[roots[i]], root[roots[j]]
+            root = [min(a, b) if x in (a, b) else x for x in root]
+        return root
+
+    assert groups(found) == groups(linked) and len(found) < 20 and set(found) <= set(linked)
 
 
 def test_registered_query_equals_brute_force(spark):
