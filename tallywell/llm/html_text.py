@@ -9,6 +9,7 @@ the runs and lines of the same container and runs that only side lines part from
 """
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -33,6 +34,7 @@ BLOCKS = frozenset(
     "header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody tfoot thead tr ul".split()
 )
 CONTAINERS = frozenset("article aside body details dialog div fieldset footer form header html main nav section table".split())
+LISTS = frozenset("ul ol dl".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SPACED = frozenset("br td th".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object canvas xmp".split())
@@ -53,10 +55,66 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)>|</?([a-zA-Z][^\s/>]*+)([^>]*)>",
     re.S,
 )
+#: The same without quotes: a tag ends at the next sign for it.
+_PLAIN_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*+)([^>]*)>", re.S)
+
+#: Tags with a quote that never ends, each of which is looked through to the end of the page,
+#: before quotes are ordinary signs on the rest of it.
+OPEN_QUOTES = 4
+
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORD = re.compile(r"[A-Za-z]+")
 
 
+class Open:
+    """Elements that are open, with counts by which a search for one that isn't there costs nothing."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, int, Container | None]] = [("", False, 0, None)]
+        self.containers: Counter[str] = Counter()
+        #: Since each open container, and since each open list or container.
+        self.in_container, self.in_list = [Counter()], [Counter()]
+
+    def push(self, tag: str, side: bool, article: int, container: "Container | None") -> None:
+        self.stack.append((tag, side, article, container))
+        if tag in CONTAINERS:
+            self.containers[tag] += 1
+            self.in_container.append(Counter())
+            self.in_list.append(Counter())
+            return
+        self.in_container[-1][tag] += 1
+        if tag in LISTS:
+            self.in_list.append(Counter())
+        else:
+            self.in_list[-1][tag] += 1
+
+    def cut(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            tag = self.stack.pop()[0]
+            if tag in CONTAINERS:
+                self.containers[tag] -= 1
+                self.in_container.pop()
+                self.in_list.pop()
+                continue
+            self.in_container[-1][tag] -= 1
+            if tag in LISTS:
+                self.in_list.pop()
+            else:
+                self.in_list[-1][tag] -= 1
+
+    def place_to_close(self, tag: str) -> int:
+        """Depth of the element that a closing tag ends, 0 if there is none; only containers end others around them."""
+        if not (self.containers if tag in CONTAINERS else self.in_container[-1])[tag]:
+            return 0
+        return next(d for d in range(len(self.stack) - 1, 0, -1) if self.stack[d][0] == tag)
+
+    def place_implied(self, ends: set[str]) -> int:
+        """Depth of the element that an opening tag ends, 0 if there is none in its list or container."""
+        if not any(self.in_list[-1][tag] for tag in ends):
+            return 0
+        return next(d for d in range(len(self.stack) - 1, 0, -1) if self.stack[d][0] in ends)
+
+
 class Container:
     """An element that holds blocks; the page itself, html and body are none."""
 
@@ -97,12 +155,14 @@ def _is_side(tag: str, source: str, in_article: bool) -> bool:
 
 
 def lines_of(html: str) -> list[Line]:
-    """Blocks with text, in page order."""
+    """Blocks with text, in page order; one pass over the page, however malformed."""
     lines: list[Line] = []
     text: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, int, Container | None]] = [("", False, 0, None)]
-    articles = links = at = 0
+    opened = Open()
+    stack = opened.stack
+    articles = links = at = open_quotes = 0
+    last = html.rfind(">") + 1
 
     def flush() -> None:
         nonlocal linked
@@ -122,20 +182,25 @@ def lines_of(html: str) -> list[Line]:
             if links:
                 linked += len(piece.strip())
 
-    while at < len(html):
-        found = _TAG.search(html, at)
+    while at < last:
+        quotes = open_quotes < OPEN_QUOTES
+        found = (_TAG if quotes else _PLAIN_TAG).search(html, at, last)
         if not found:
             break
         add(html[at : found.start()])
         at = found.end()
-        tag = (found[1] or found[3] or "").lower()
+        name, source = (found[1], found[2]) if found[1] or not quotes else (found[3], found[4])
+        if quotes and found[3]:
+            open_quotes += 1
+        tag, source = (name or "").lower(), source or ""
         if not tag:
+            if at == last and html.startswith("<!--", found.start()) and not html.endswith("-->", found.start() + 4, at):
+                at = len(html)
             continue
-        source = found[2] or found[4] or ""
         closing = html[found.start() + 1] == "/"
         if tag in RAW:
             if not closing and not source.endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
+                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at, last)
                 at = end.end() if end else len(html)
             continue
         if tag in SPACED:
@@ -147,22 +212,14 @@ def lines_of(html: str) -> list[Line]:
         if tag in VOID:
             continue
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    # what is open inside ends as well, its text first
-                    flush() if stack[-1][1] != stack[depth - 1][1] else None
-                    del stack[depth:]
-                    break
-                if stack[depth][0] in CONTAINERS and tag not in CONTAINERS:
-                    break
+            if depth := opened.place_to_close(tag):
+                # what is open inside ends as well, its text first
+                flush() if stack[-1][1] != stack[depth - 1][1] else None
+                opened.cut(depth)
             continue
         if ends := IMPLIED_END.get(tag):
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in ends:
-                    del stack[depth:]
-                    break
-                if stack[depth][0] in CONTAINERS or stack[depth][0] in ("ul", "ol", "dl"):
-                    break
+            if depth := opened.place_implied(ends):
+                opened.cut(depth)
         _, side, article, container = stack[-1]
         if not side and _is_side(tag, source, article > 0):
             flush()
@@ -172,8 +229,9 @@ def lines_of(html: str) -> list[Line]:
             article = articles
         if tag in CONTAINERS and tag not in ("html", "body"):
             container = Container(container)
-        stack.append((tag, side, article, container))
-    add(html[at:])
+        opened.push(tag, side, article, container)
+    rest = html[at:]
+    add(rest[: rest.find("<!--")] if "<!--" in rest else rest)
     flush()
     return lines
 

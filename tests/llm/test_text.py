@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -277,3 +278,30 @@ LINKED = "<ul><li><a href=a>One story</a><li><a href=b>Another story</a><li><a h
 )
 def test_surges_and_dives_pick_the_text(html, text):
     assert html_text.main_text(html) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 1_700_000,
+        "<!--" * 1_250_000,
+        "<a title='" * 500_000,
+        "<script>" + "</script " * 500_000,
+        '<a ">" ' * 300_000 + '"',
+        "<div>" * 100_000 + "</span></section>" * 50_000,
+        "<i><div>" + "<b>" * 100_000 + "</i><p></p>" * 50_000,
+        "<p><ul>" + "<b>" * 100_000 + "<p></p>" * 50_000,
+    ],
+    ids=["tags", "comments", "quotes", "script", "attributes", "containers", "closings", "paragraphs"],
+)
+def test_malformed_pages_take_one_pass(page):
+    begin = time.process_time()
+    html_text.main_text("<p>text " + page)
+    assert time.process_time() - begin < 10
+
+
+def test_unclosed_markup_keeps_its_text():
+    assert [x.text for x in html_text.lines_of("<p>one <b two")] == ["one <b two"]
+    assert [x.text for x in html_text.lines_of("<p>one<!-- two > three")] == ["one"]
+    assert [x.text for x in html_text.lines_of("<p>one<!--> two")] == ["one"]
+    assert [x.text for x in html_text.lines_of("<div><p>a<ul><li>b<li>c</ul><i>d</div>e")] == ["a", "b", "c", "d", "e"]
