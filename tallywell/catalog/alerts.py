@@ -88,6 +88,18 @@ def absent_spans(spark: SparkSession, folder: str) -> DataFrame:
     return A.absent_spans(star.metric_samples(spark, folder), ["instance"], SINCE, AS_OF, 86400, expected)
 
 
+@query("sustained_value", sql(
+    f"""SELECT metric, make_timestamp(min(start)) AS since, make_timestamp(max(stop)) AS until, max(stop) = {_NOW} AS is_active FROM (
+        SELECT *, sum(broke) OVER (PARTITION BY metric ORDER BY start) AS span FROM (
+            SELECT metric, tick AS start, coalesce(next_at, {_NOW}) AS stop,
+                CASE WHEN lag(value) OVER (PARTITION BY metric ORDER BY tick) > 20 THEN 0 ELSE 1 END AS broke, value
+            FROM ({_counted(_EVENTS)})) WHERE value > 20)
+    GROUP BY metric, span HAVING max(stop) - min(start) >= 7200000000""", "samples"))
+def sustained_value(spark: SparkSession, folder: str) -> DataFrame:
+    """Values over 20 that stood for two hours, each until the next sample."""
+    return A.sustained(star.metric_samples(spark, folder), ["metric"], F.col("value") > 20, 7200, AS_OF)
+
+
 def _grid(metric: str, window: int) -> str:
     step = A.EVALUATION_SECONDS * T.MICROS
     first = f"((tick + {step - 1}) // {step}) * {step}"

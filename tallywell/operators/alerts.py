@@ -86,6 +86,16 @@ def spans(intervals: DataFrame, by: Sequence[str], as_of: datetime) -> DataFrame
     return joined.withColumn("is_active", F.col("stop") == as_micros(as_of))
 
 
+def sustained(samples: DataFrame, by: Sequence[str], condition: Column, seconds: int, as_of: datetime, lookback: Column | None = None) -> DataFrame:
+    """MN9: the spans in which the valid value of a series met a condition on ``value``, at least so long.
+
+    A value stands until the next sample or ``as_of``, so one sample can sustain a condition.
+    """
+    met = spans(validity(samples, by, as_of, lookback).where(condition).drop("value"), by, as_of)
+    lasted = met.where(F.col("stop") - F.col("start") >= seconds * T.MICROS)
+    return lasted.select(*by, as_timestamp(F.col("start")).alias("since"), as_timestamp(F.col("stop")).alias("until"), "is_active")
+
+
 def absent_spans(
     samples: DataFrame, by: Sequence[str], since: datetime, as_of: datetime, lookback: int = LOOKBACK_SECONDS,
     expected: DataFrame | None = None,

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallywell.operators import alerts as A
 from tallywell.operators import counters as C
@@ -176,3 +177,12 @@ def test_absent_spans(spark):
     found = A.absent_spans(frame(spark, rows), ["labels"], START, START + timedelta(seconds=1000), 300, expected).collect()
     got = sorted((r.labels, (r.since_ts - START).total_seconds(), (r.until_ts - START).total_seconds(), r.is_active) for r in found)
     assert got == [("", 0, 1000, True), ("a", 0, 100, False), ("a", 450, 900, False), ("c", 0, 1000, True)]
+
+
+def test_one_sample_sustains_a_condition(spark):
+    rows = [("a", "x", 0, 5), ("a", "x", 100, 0), ("b", "x", 0, 5), ("b", "x", 50, 6), ("b", "x", 90, 1), ("c", "x", 10, 7)]
+    found = A.sustained(frame(spark, rows), ["metric"], F.col("value") >= 5, 90, START + timedelta(seconds=101)).collect()
+    got = sorted((r.metric, (r.since - START).total_seconds(), (r.until - START).total_seconds(), r.is_active) for r in found)
+    assert got == [("a", 0, 100, False), ("b", 0, 90, False), ("c", 10, 101, True)]
+    short = A.sustained(frame(spark, rows), ["metric"], F.col("value") >= 5, 90, START + timedelta(seconds=101), F.lit(60))
+    assert [(r.metric, (r.until - START).total_seconds()) for r in short.collect()] == [("b", 90)]
