@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywell.llm.common import in_slices, materialize
+from tallywell.llm.common import bitmap_of, in_slices, materialize
 
 MOST_WORDS = 4
 LEAST_COUNT = 30
@@ -35,6 +35,9 @@ SLICE_BYTES = 8 << 20
 #: Bits by which frequent pairs are told from others: a fixed 8 MB, whatever the input.
 FILTER_BITS = 26
 
+#: Bits by which pairs are counted for it; two pairs of one number can only be let through together.
+COUNTED_BITS = FILTER_BITS + 10
+
 #: One node in so many ends a path, which bounds the edges of a path; rounds reach paths of 2^10 edges.
 PATH_BREAK = 64
 PATH_ROUNDS = 10
@@ -111,18 +114,14 @@ def frequent_pairs(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sequence in _sequences(batches):
-            hashes, n = np.unique(sequence.pair_hashes()[1], return_counts=True)
+            hashes, n = np.unique(sequence.pair_hashes()[1] >> np.uint64(64 - COUNTED_BITS), return_counts=True)
             if len(n):
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["pair", "n"])
 
     counted = _lines(docs, text_col, lang_col).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    slot = F.shiftrightunsigned("pair", 64 - FILTER_BITS)
+    slot = F.shiftright("pair", COUNTED_BITS - FILTER_BITS)
     marked = counted.where(F.col("n") >= least).select(slot.alias("slot"))
-    parts = marked.groupBy((F.col("slot") / 32768).cast("int").alias("part")).agg(F.bitmap_construct_agg(F.col("slot") % 32768).alias("bits"))
-    bits = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    for row in parts.collect():
-        bits[row["part"] * 4096 :][: len(row["bits"])] = np.frombuffer(bytes(row["bits"]), np.uint8)
-    return bits.tobytes()
+    return bitmap_of(marked, FILTER_BITS)
 
 
 def graph(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST_COUNT) -> DataFrame:
