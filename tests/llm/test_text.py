@@ -77,6 +77,38 @@ def test_ordinary_words_behind_a_context_speak_against_it(spark):
     assert found[99] == ""
 
 
+def test_grouped_identifiers_are_masked_whole(spark):
+    rows = [(k, f"account{'' if k % 2 else ' number'} is: person{k}@mail.example.com, thanks") for k in range(9)]
+    rows += [(50, "account is: ES91 2100 0418 4502, thanks"), (51, "it takes 12 2100 steps")]
+    masked = {r["doc_id"]: r["text"] for r in pii.mask_documents(documents(spark, rows)).collect()}
+    assert masked[50] == "account is: [CONTEXT], thanks" and masked[51] == rows[10][1]
+
+
+def test_context_words_of_any_length_and_words_behind(spark):
+    long = "c" * 500
+    rows = [(k, f"by {long} p{k}@mail.example.com") for k in range(5)] + [(10, f"by {long} agent007")]
+    rows += [(20 + k, f"z{k * 'z'} q{k}@mail.example.com wrote") for k in range(5)] + [(30, "then agent8 wrote")]
+    found = {r["doc_id"]: r["spans"] for r in pii.digests(pii.find_personal_data(documents(spark, rows))).collect()}
+    assert found[10] == "context:504:512" and found[30] == "context:5:11"
+
+
+def test_no_pattern_lends_belief_to_itself(spark):
+    rows = [(k, f"please ask {'e%d@mail.example.com' % k if k < 5 else 'room%d' % k} now{k * 'w'}") for k in range(10)]
+    found = {r["doc_id"]: r["spans"] for r in pii.digests(pii.find_personal_data(documents(spark, rows))).collect()}
+    assert all(found[k] == "" for k in range(5, 10))
+
+
+def test_many_matches_in_one_long_text(spark):
+    text = "12 a1@b.co " * 450_000
+    docs = documents(spark, [(1, text)])
+    started = time.monotonic()
+    row = pii.digests(pii.find_personal_data(docs)).first()
+    masked = pii.mask_documents(docs).first()["text"]
+    assert time.monotonic() - started < 240
+    assert row["n_email"] == 450_000 and row["base_sha256"] == hashlib.sha256(base_spans(text).encode()).hexdigest()
+    assert masked.count("[EMAIL]") == 450_000 and "@" not in masked
+
+
 def test_masking_keeps_rows_and_columns(spark, odd_rows):
     docs = documents(spark, odd_rows)
     masked = pii.mask_documents(docs)
