@@ -206,14 +206,23 @@ def _edges(found: DataFrame) -> DataFrame:
 
 
 def _followed(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """How often each pattern stands anywhere in the texts with a word in its place."""
+    """How often each pattern stands anywhere in the texts with a word in its place.
+
+    A word is counted once for the places before others and for those behind them.
+    """
     rows = texts.select(_words(F.col("text")).alias("w")).where(F.size("w") > 1)
-    ones = F.slice("w", 1, F.size("w") - 1)
     twos = F.zip_with(F.slice("w", 1, F.size("w") - 2), F.slice("w", 2, F.size("w") - 2), lambda a, b: F.concat_ws(" ", a, b))
     twos = F.when(F.size("w") > 2, twos).otherwise(F.array().cast("array<string>"))
-    behind = F.transform(F.slice("w", 2, F.size("w") - 1), lambda w: F.concat(F.lit(" "), w))
-    each = rows.select(F.explode(F.concat(ones, twos, behind)).alias("pattern"))
-    return each.join(patterns.select("pattern"), "pattern", "left_semi").groupBy("pattern").agg(F.count("*").alias("followed"))
+    each = rows.select(F.size("w").alias("n"), F.posexplode(F.concat("w", twos)).alias("place", "said"))
+    sought = patterns.select(F.ltrim("pattern").alias("said")).distinct()
+    before = F.count_if(F.col("place") != F.col("n") - 1).alias("before")
+    behind = F.count_if((F.col("place") > 0) & (F.col("place") < F.col("n"))).alias("behind")
+    counts = each.join(sought, "said", "left_semi").groupBy("said").agg(before, behind)
+    sides = F.array(
+        F.struct(F.col("said").alias("pattern"), F.col("before").alias("followed")),
+        F.struct(F.concat(F.lit(" "), "said").alias("pattern"), F.col("behind").alias("followed")),
+    )
+    return counts.select(F.inline(sides))
 
 
 def _believed_elsewhere(unseen: DataFrame, patterns: DataFrame) -> DataFrame:
