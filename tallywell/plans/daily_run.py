@@ -20,7 +20,7 @@ from tallywell.operators.profile import preview_rows, profile_input
 from tallywell.operators.rankings import product_ranking
 from tallywell.operators.revenue import add_line_revenue, business_kpis, daily_summary, revenue_by_product_date
 from tallywell.schema import REPORT_RANKING_SIZE
-from tallywell.session import materialize, new_path
+from tallywell.session import materialize, new_path, remove_path
 from tallywell.sinks import files as out
 from tallywell.sinks.warehouse import load_results
 from tallywell.sources.files import input_format, read_sales
@@ -48,13 +48,13 @@ class _Stages:
         self.figures[name] = (count, self.figures.get(name, (None, None))[1])
 
 
-def classify(typed: DataFrame, limits: Q.Limits, order_by: str) -> tuple[DataFrame, dict]:
-    """Write the lines with their reason once, counting every rule on the way."""
+def classify(typed: DataFrame, limits: Q.Limits, order_by: str, folder: str) -> tuple[DataFrame, dict]:
+    """Write the lines with their reason once into a folder, counting every rule on the way."""
     rules = Q.build_rules(limits, order_by)
     observed = Observation()
     marked = Q.apply_rules(typed, rules).drop(order_by)
     marked = marked.withColumn("is_rejected", F.col("reject_reason").isNotNull())
-    path = new_path(typed.sparkSession, "classified")
+    path = f"{folder}/classified"
     marked.observe(observed, *Q.count_columns(rules)).write.partitionBy("is_rejected").parquet(path)
     stats = dict(observed.get)
     total = stats["input_rows"]
@@ -79,19 +79,25 @@ def run(
     Text is parsed once; Parquet is read in place, by column. Rejected
     rows are kept as evidence before the gate decides. Nothing reaches the
     destination of the results before the aggregate has been verified. Jobs that
-    do not depend on each other are submitted together.
+    do not depend on each other are submitted together. The steps written on the
+    way are deleted at the end, however the run ends.
     """
     run_id = run_id or datetime.now(UTC).strftime("%Y%m%d-%H%M%S")
-    with ThreadPoolExecutor() as jobs:
-        return _run(
-            spark, jobs, source, destination, limits, max_rows, file_format, run_id,
-            (raw_database, database_location) if load_warehouse else None,
-        )
+    folder = new_path(spark, "daily_run")
+    try:
+        with ThreadPoolExecutor() as jobs:
+            return _run(
+                spark, jobs, folder, source, destination, limits, max_rows, file_format, run_id,
+                (raw_database, database_location) if load_warehouse else None,
+            )
+    finally:
+        remove_path(spark, folder)
 
 
 def _run(
     spark: SparkSession,
     jobs: ThreadPoolExecutor,
+    folder: str,
     source: str,
     destination: str,
     limits: Q.Limits,
@@ -116,11 +122,11 @@ def _run(
     with stages.timed("ingesta"):
         typed = read_sales(spark, source, file_format, max_rows, with_ordinal=True)
         if input_format(source, file_format) == "csv" or max_rows is not None:
-            typed = materialize(typed, "typed")
+            typed = materialize(typed, "typed", folder)
 
     with stages.timed("validacion"):
         profile = jobs.submit(lambda: profile_input(typed.drop("ordinal")).first().asDict())
-        classified, stats = classify(typed, limits, "ordinal")
+        classified, stats = classify(typed, limits, "ordinal", folder)
         report["validation"] = stats
         quarantine = None
         if stats["rejected_rows"]:
@@ -133,7 +139,7 @@ def _run(
     valid = classified.where(~F.col("is_rejected")).drop("is_rejected", "reject_reason")
     detail = valid.transform(add_line_revenue).transform(add_calendar)
     with stages.timed("transformacion"):
-        aggregate = materialize(revenue_by_product_date(detail, ordered=False), "aggregate")
+        aggregate = materialize(revenue_by_product_date(detail, ordered=False), "aggregate", folder)
         summary = daily_summary(aggregate)
         ranking = product_ranking(aggregate, REPORT_RANKING_SIZE)
     stages.rows("transformacion", stats["valid_rows"])

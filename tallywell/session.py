@@ -42,13 +42,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "tallywell", uuid.uuid4().hex, name)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame once to the shared folder and read it back.
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can reach it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write a frame once to the shared folder, or one inside it, and read it back.
 
     Later stages start from the written files, so a lost executor costs a
     re-read and not a re-computation, and Catalyst knows the true size.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = os.path.join(folder, name) if folder else new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

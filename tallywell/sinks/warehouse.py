@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallywell.errors import LoadError
 from tallywell.operators.checks import UNIQUE_KEYS, check_unique
 from tallywell.plans.layers import PUBLISHED, enrich_sales, prepare_sales
-from tallywell.session import materialize
+from tallywell.session import materialize, remove_path
 
 log = logging.getLogger(__name__)
 
@@ -38,12 +38,6 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
         raise LoadError(f"could not create the database {name}: {error}") from error
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder wherever Spark can reach it."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def _location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
     return described.first()["data_type"]
@@ -98,7 +92,7 @@ def _written(df: DataFrame, table: str, unique: Sequence[tuple[str, ...]]) -> _L
             raise LoadError(f"{repeated} repeat")
         return _Load(table, path, rows, _location(spark, table) if known is not None else None, same, spark)
     except Exception:
-        _remove(spark, path)
+        remove_path(spark, path)
         raise
 
 
@@ -144,13 +138,13 @@ def replace_tables(frames: dict[str, DataFrame], unique: dict[str, Sequence[tupl
             else:
                 load.spark.sql(f"DROP TABLE IF EXISTS {load.table}")
         for load in loads:
-            _remove(load.spark, load.path)
+            remove_path(load.spark, load.path)
         raise LoadError(f"could not load the table {table}: {error}") from error
     for load in loads:
         if not load.rows:
-            _remove(load.spark, load.path)
+            remove_path(load.spark, load.path)
         elif stale[load.table]:
-            _remove(load.spark, stale[load.table])
+            remove_path(load.spark, stale[load.table])
     return {load.table: load.result() for load in loads}
 
 

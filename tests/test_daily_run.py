@@ -3,6 +3,7 @@
 import json
 from datetime import timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from frames import csv_text
@@ -12,6 +13,7 @@ from tallywell.operators import monitoring as M
 from tallywell.operators.checks import run_checks, source_checks
 from tallywell.operators.quality import Limits
 from tallywell.plans import analytics, daily_run, watch
+from tallywell.session import shared_dir
 from tallywell.sinks.files import read_result
 
 LOOSE = Limits(max_reject_pct=20.0)
@@ -44,6 +46,15 @@ def done(spark, tmp_path_factory):
     return base, report
 
 
+def test_steps_are_deleted_however_the_run_ends(spark, tmp_path):
+    root = Path(shared_dir(spark))
+    before = set(root.rglob("daily_run/*"))
+    daily_run.run(spark, source(tmp_path), str(tmp_path / "out"), LOOSE)
+    with pytest.raises(QualityError):
+        daily_run.run(spark, source(tmp_path), str(tmp_path / "strict"), Limits(max_reject_pct=1.0))
+    assert set(root.rglob("daily_run/*")) == before
+
+
 def test_totals(done):
     _, report = done
     assert {k: report["validation"][k] for k in ("input_rows", "valid_rows", "rejected_rows")} == {
