@@ -1,8 +1,9 @@
-"""Delimiter and header of each text file, from one scan of all of its lines."""
+"""Delimiter and header of each text file, from all of its lines."""
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywell.session import materialize
 from tallywell.sources.records import opens_field
 
 # The delimiters tried, in order of preference.
@@ -15,16 +16,28 @@ QUOTED = r'"[^"]*+"'
 
 def separators(line: Column | str, delimiter: str) -> Column:
     """How often a delimiter stands in a line outside quotes."""
-    unquoted = F.regexp_replace(line, QUOTED, "")
-    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(delimiter), F.lit("")))
+    return _occurrences(F.regexp_replace(line, QUOTED, ""), delimiter)
+
+
+def _occurrences(text: Column, sign: str) -> Column:
+    times = F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))
+    return F.when(F.contains(text, F.lit(sign)), times).otherwise(F.lit(0))
+
+
+def _file_path(file: str) -> Column:
+    """The path of a file that the scan names as a URI."""
+    return F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+
+
+def _placed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file, split, row, value`` of every line; the same rows have the same places in each scan of the frame."""
+    text = spark.read.option("recursiveFileLookup", "true").text(path)
+    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"), "value")
 
 
 def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``path, split, row, value`` of every line; within a split, rows count up."""
-    text = spark.read.option("recursiveFileLookup", "true").text(path)
-    # the scan names files as URIs
-    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path")
-    return text.select(file, F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"), "value")
+    return _placed_lines(spark, path).select(_file_path("file").alias("path"), "split", "row", "value")
 
 
 def scan_headers(spark: SparkSession, path: str | list[str], delimiter: str | None = None) -> DataFrame:
@@ -33,31 +46,36 @@ def scan_headers(spark: SparkSession, path: str | list[str], delimiter: str | No
     A delimiter scores one point per line on which it occurs as often as in the
     header, the first such line. Without any point the most frequent one of the header
     wins, and the comma when there is none. ``breaks`` says whether some quoted field goes on
-    in another line. A ``delimiter`` that is given stands for all candidates. Tasks count their lines by how often each delimiter occurs, so the
-    header can be scored afterwards and the text is scanned once.
+    in another line. A ``delimiter`` that is given stands for all candidates.
+
+    Tasks count their lines by how often each delimiter occurs, so the header can be scored
+    afterwards. Only numbers are added up, which needs no sort of the lines; the text of the
+    headers is picked by its place in a second look at the lines, which moves none of them.
     """
     candidates = CANDIDATES if delimiter is None else (delimiter,)
-    lines = text_lines(spark, path).where(F.trim("value") != "")
-    times = [separators("value", c).alias(f"times_{i}") for i, c in enumerate(candidates)]
-    open_lines = [F.when(opens_field("value", c), 1).otherwise(0).alias(f"open_{i}") for i, c in enumerate(candidates)]
-    counted = lines.select("path", F.struct("split", "row").alias("place"), "value", *times, *open_lines)
+    placed = _placed_lines(spark, path)
+    value = F.col("value")
+    unquoted = F.when(F.contains(value, F.lit('"')), F.regexp_replace(value, QUOTED, "")).otherwise(value)
+    lines = placed.where(F.trim("value") != "").withColumn("unquoted", unquoted)
     names = [f"times_{i}" for i in range(len(candidates))]
-    alike = counted.groupBy("path", *names).agg(
-        F.count("*").alias("lines"), F.min("place").alias("place"), F.min_by("value", "place").alias("value"),
-        *[F.sum(f"open_{i}").alias(f"open_{i}") for i in range(len(candidates))],
-    )
-    first = alike.groupBy("path").agg(F.min_by(F.struct(F.col("value").alias("header"), *names), "place").alias("first"))
-    joined = alike.join(first.withColumnRenamed("path", "of"), F.col("path") == F.col("of"))
-    points = [
-        F.sum(F.when((F.col(n) > 0) & (F.col(n) == F.col("first")[n]), F.col("lines")).otherwise(0)).alias(f"points_{i}") for i, n in enumerate(names)
-    ]
-    scored = joined.groupBy("path").agg(F.first("first").alias("first"), *points, *[F.sum(f"open_{i}").alias(f"open_{i}") for i in range(len(candidates))])
+    opens = [f"open_{i}" for i in range(len(candidates))]
+    times = [_occurrences(F.col("unquoted"), c).alias(n) for n, c in zip(names, candidates)]
+    open_lines = [F.when(opens_field("value", c), 1).otherwise(0).alias(n) for n, c in zip(opens, candidates)]
+    counted = lines.select("file", "split", "row", *times, *open_lines)
+    alike = counted.groupBy("file", "split", *names).agg(F.count("*").alias("lines"), F.min("row").alias("row"), *[F.sum(n).alias(n) for n in opens])
+    alike = materialize(alike, "alike")
+    place = F.struct("split", "row")
+    first = alike.groupBy("file").agg(F.min_by(F.struct("split", "row", *names), place).alias("first"))
+    points = [F.sum(F.when((F.col(n) > 0) & (F.col(n) == F.col("first")[n]), F.col("lines")).otherwise(0)).alias(f"points_{i}") for i, n in enumerate(names)]
+    joined = alike.join(first.withColumnRenamed("file", "of"), F.col("file") == F.col("of"))
+    scored = joined.groupBy("file").agg(F.first("first").alias("first"), *points, *[F.sum(n).alias(n) for n in opens])
     ranked = [
         F.struct(F.col(f"points_{i}").alias("points"), F.col("first")[n].alias("times"), F.lit(-i).alias("first"), F.lit(c).alias("delimiter"), (F.col(f"open_{i}") > 0).alias("breaks"))
         for i, (n, c) in enumerate(zip(names, candidates))
     ]
-    best = scored.select("path", F.array_max(F.array(*ranked)).alias("best"), F.col("first.header").alias("header"))
-    return best.select("path", "best.delimiter", "header", "best.breaks")
+    best = scored.select("file", "first.split", "first.row", F.array_max(F.array(*ranked)).alias("best"))
+    headers = placed.join(best, ["file", "split", "row"])
+    return headers.select(_file_path("file").alias("path"), "best.delimiter", F.col("value").alias("header"), "best.breaks")
 
 
 def infer_delimiter(spark: SparkSession, path: str | list[str]) -> DataFrame:

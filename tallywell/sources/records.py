@@ -7,6 +7,8 @@ each span between an opening and a closing line becomes one record. Lines outsid
 are records as they stand and are not moved.
 """
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +40,16 @@ def _inside_after(line: Column, delimiter: str, inside: bool) -> Column:
 
 
 def opens_field(line: str, delimiter: str) -> Column:
-    """Whether a line that begins outside of quotes ends inside; without such lines no record is longer than a line."""
-    return F.contains(F.col(line), F.lit('"')) & _inside_after(F.col(line), delimiter, False)
+    """Whether a line that begins outside of quotes ends inside; without such lines no record is longer than a line.
+
+    No field opens without a quote at its start, and none is open where all quotes belong to
+    whole fields without a quote in them; only other lines are walked field by field.
+    """
+    value = F.col(line)
+    starts = F.startswith(value, F.lit('"')) | F.contains(value, F.lit(f'{delimiter}"'))
+    sign = re.escape(delimiter)
+    others = F.regexp_replace(value, f'(?:^|{sign})"[^"]*+"(?={sign}|\\z)', "")
+    return starts & F.contains(others, F.lit('"')) & _inside_after(value, delimiter, False)
 
 
 def _changes_state(line: str, delimiter: str) -> Column:

@@ -1,12 +1,18 @@
+import itertools
 from datetime import datetime
 from decimal import Decimal
 
 import pytest
 from frames import HEADERS, RAW, VALID, csv_text, valid
+from pyspark.sql import functions as F
 
+from tallywell.catalog import sources as S
+from tallywell.catalog.sources import write_text
 from tallywell.errors import IngestError
-from tallywell.sources import files
+from tallywell.session import materialize
+from tallywell.sources import delimiters, files
 from tallywell.sources.delimiters import infer_delimiter
+from tallywell.sources.records import opens_field
 from tallywell.sources.typing import coerce_types, column_names, normalize_name, require_columns
 
 
@@ -269,6 +275,76 @@ def test_too_many_fields_in_records_of_several_lines(spark, tmp_path):
     assert read_back(spark, put(tmp_path, "a.csv", "\n".join([HEADER, *body]))) == [("2", "TWO\nLINES", 6, None)]
 
 
+def plan_of(df, capsys):
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_lines_are_counted_without_a_sort_of_their_text(spark, tmp_path, monkeypatch, capsys):
+    plans = {}
+
+    def kept(df, name, folder=None):
+        plans[name] = plan_of(df, capsys)
+        return materialize(df, name, folder)
+
+    monkeypatch.setattr(delimiters, "materialize", kept, raising=False)
+    path = put(tmp_path, "a.csv", csv_text(RAW))
+    plans["headers"] = plan_of(delimiters.scan_headers(spark, path), capsys)
+    # A line's text in an aggregate makes Spark sort all lines.
+    assert all("Scan text" in p or name == "headers" for name, p in plans.items()) and "SortAggregate" not in plans["alike"]
+
+
+def test_headers_of_files_packed_in_one_task_and_cut_in_many(spark, tmp_path):
+    for k, sep in enumerate(",;\t|"):
+        put(tmp_path, f"in/{k} +.csv", "\n  \n" * 60 + csv_text(RAW * 20, sep))
+    for size in ("150", "100000"):
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = delimiters.scan_headers(spark, str(tmp_path / "in")).orderBy("path").collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert [(r.delimiter, r.header, r.breaks) for r in found] == [(s, s.join(HEADERS), False) for s in ",;\t|"]
+        assert [r.path.endswith(f"in/{k} +.csv") for k, r in enumerate(found)] == [True] * 4
+
+
+@pytest.mark.parametrize("sep", [",", "|", "\t"])
+def test_open_quotes_by_brute_force(spark, sep):
+    def inside_after(line):
+        inside = False
+        for field in line.split(sep):
+            if not inside and not field.startswith('"'):
+                continue
+            rest = field if inside else field[1:]
+            inside = '"' not in rest.replace('""', "")
+        return inside
+
+    texts = ["".join(t) for n in range(8) for t in itertools.product(f'a"{sep}', repeat=n)]
+    df = spark.createDataFrame([(t,) for t in texts], "value string").repartition(8)
+    found = {r.value: r.open for r in df.select("value", opens_field("value", sep).alias("open")).collect()}
+    assert found == {t: inside_after(t) for t in texts}
+
+
+def test_no_task_writes_a_fixed_share_of_the_lines(spark, monkeypatch):
+    """Text with line breaks is written by as many tasks as its rows have."""
+    rows = [(*r, flag) for r, flag in zip(RAW, "ANRAN")]
+    text = spark.createDataFrame(rows, [*HEADERS, "l_returnflag"]).repartition(5)
+    monkeypatch.setattr(S, "raw_text", lambda *_: text)
+    tasks = []
+    monkeypatch.setattr(S, "write_text", lambda df, path, sep: tasks.append(df.rdd.getNumPartitions()) or write_text(df, path, sep))
+    assert S.read_line_breaks(spark, "").count() == 5
+    assert tasks == [5]
+
+
+def test_long_lines_are_written_compressed_and_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "LINES_PER_FILE", 10, raising=False)
+    path = str(tmp_path / "long.csv")
+    S.write_lines(spark.range(25).repartition(1), F.concat(F.lit("x"), F.repeat(F.lit("long, "), 500)), path)
+    files_ = list((tmp_path / "long.csv").glob("part-*.csv.gz"))
+    assert len(files_) == 3 and sum(f.stat().st_size for f in files_) < 25 * 3000 / 20
+    assert spark.read.text(path).count() == 25 + 3
+
+
 def test_row_cap_reads_the_files_of_the_first_rows_only(spark, tmp_path):
     path = str(tmp_path / "many x")
     frame = valid(spark).unionByName(valid(spark))
