@@ -79,10 +79,15 @@ def read_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_sales_csv(spark, [f"{root}/{flag}" for flag in "ANR"]).select(*LINE)
 
 
+#: Lines of a compressed file, which one task reads.
+LINES_PER_FILE = 100_000
+
+
 def write_lines(df: DataFrame, line: Column, path: str) -> None:
-    """Lines as they are, under the usual header."""
+    """Lines as they are, under the usual header, in compressed files of bounded size."""
     lines = df.select(line.alias(",".join(HEADERS)))
-    lines.write.option("header", True).option("sep", "\x01").option("quote", "").option("escape", "").csv(path)
+    options = {"header": True, "sep": "\x01", "quote": "", "escape": "", "compression": "gzip", "maxRecordsPerFile": LINES_PER_FILE}
+    lines.write.options(**options).csv(path)
 
 
 @query("read_long_fields", sql(
@@ -111,7 +116,7 @@ def read_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
     flag = F.col("l_returnflag")
     description = F.when(flag == "A", broken).when(flag == "N", "plain").otherwise('5" pipe')
     path = new_path(spark, "breaks")
-    write_text(text.withColumn("Description", description).drop("l_returnflag").repartition(2), path, ",")
+    write_text(text.withColumn("Description", description).drop("l_returnflag"), path, ",")
     return files.read_sales_csv(spark, path).select("invoice_id", "product_id", "quantity", "unit_price", "country", "description")
 
 
