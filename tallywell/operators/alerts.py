@@ -19,10 +19,15 @@ from pyspark.sql import functions as F
 from tallywell.operators import counters as C
 from tallywell.operators import monitoring as M
 from tallywell.operators import series as T
+from tallywell.operators.ranges import in_ranges
 from tallywell.session import materialize
 
 HOUR_CHUNK = M.HOUR
 
+#: Pieces of time that are searched together, and the instant before all others.
+FAN = 256
+_BEGIN = -(1 << 60)
+
 # How long a scraped sample stays valid, and how often windows are evaluated.
 LOOKBACK_SECONDS = 300
 EVALUATION_SECONDS = 30
@@ -158,28 +163,99 @@ def evaluated_windows(samples: DataFrame, by: Sequence[str], as_of: datetime, wi
     return found.select(*by, F.col("at").alias("start"), F.least(F.col("at") + step, F.lit(now)).alias("stop"))
 
 
-def share_of_single(many: DataFrame, one: DataFrame, by: Sequence[str], limit: str = M.CONNECTION_SHARE_ALERT, lookback: int = LOOKBACK_SECONDS) -> DataFrame:
+def _limits(one: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``position`` (from 0), ``at``, ``until`` and ``whole`` of pieces that cover all time, in order.
+
+    ``whole`` is the least positive value of the intervals of ``one`` that hold there, null
+    where none does. Intervals of a series do not overlap.
+    """
+    series = ["side", *by]
+    # Of equal intervals the greatest value counts, as one of its series.
+    named = one.withColumn("side", F.lit("")).groupBy("start", "stop").agg(F.max("value").alias("value"), F.min(F.struct(*series)).alias("label"))
+    held = materialize(named.select("label.*", F.col("start").alias("at"), "stop", "value"), "limits")
+    labels = held.agg(F.collect_set(F.struct(*series))).scalar()
+    bounds = held.select(F.explode(F.array("at", "stop")).alias("at")).distinct()
+    asked = bounds.select("at", F.inline(labels))
+    found = T.as_of(asked, held, series, "at", ["stop", "value"], "last")
+    valid = F.when((F.col("last.stop") > F.col("at")) & (F.col("last.value") > 0), F.col("last.value"))
+    pieces = found.groupBy("at").agg(F.min(valid).alias("whole"))
+    begin = one.sparkSession.range(1).select(F.lit(_BEGIN).alias("at"), F.lit(None).cast(pieces.schema["whole"].dataType).alias("whole"))
+    placed = in_ranges(pieces.unionByName(begin), [F.col("at")], {}, "position").withColumn("tie", F.lit(0))
+    lasting = T.with_next(placed, [], "at", "tie", ["at"])
+    return materialize(lasting.select((F.col("position") - 1).cast("long").alias("position"), "at", F.col("next.at").alias("until"), "whole"), "pieces")
+
+
+def _levels(pieces: DataFrame) -> list[DataFrame]:
+    """``group, nodes``: pieces in groups of ``FAN``, their groups in groups, and so on up to one; a group counts by its greatest ``whole``, or null."""
+    nodes, levels = pieces, []
+    while True:
+        node = F.struct("position", "at", "until", "whole")
+        groups = nodes.groupBy(F.floor(F.col("position") / FAN).alias("group")).agg(F.sort_array(F.collect_list(node)).alias("nodes"))
+        levels.append(groups := materialize(groups, "level"))
+        if groups.count() <= 1:
+            return levels
+        greatest = F.when(F.forall("nodes", lambda n: n["whole"].isNotNull()), F.array_max(F.transform("nodes", lambda n: n["whole"])))
+        none = F.lit(None).cast("long")
+        nodes = groups.select(F.col("group").alias("position"), none.alias("at"), none.alias("until"), greatest.alias("whole"))
+
+
+def _nearest_break(asked: DataFrame, levels: list[DataFrame], ahead: bool, limit: str, name: str) -> DataFrame:
+    """Add ``name``: the first (or last) piece from ``low`` to ``high`` whose share the value does not pass, or null.
+
+    The search climbs from the group of one end until a node has such a piece, and goes down
+    to it, so each row meets one group per level and step.
+    """
+
+    def look(state: DataFrame, k: int, wanted: Column, seek: Column | None) -> DataFrame:
+        """One group of a level; rows that want none are spread."""
+        spread = -1 - F.pmod(F.xxhash64("low", "high", "value"), F.lit(997))
+        met = state.withColumn("group", F.coalesce(wanted, spread)).join(levels[k], "group", "left")
+        size = FAN**k
+        inside = [F.floor(F.col("low") / size), F.floor(F.col("high") / size)]
+        if seek is not None:
+            inside[0 if ahead else 1] = seek
+
+        def breaks(n: Column) -> Column:
+            passed = F.col("value") > F.lit(limit).cast("decimal(4,2)") * n["whole"]
+            return n["position"].between(*inside) & ~F.coalesce(passed, F.lit(False))
+
+        return met.withColumn("hit", F.get(F.filter("nodes", breaks), F.lit(0)) if ahead else F.get(F.reverse(F.filter("nodes", breaks)), F.lit(0))).drop("group", "nodes")
+
+    state = asked.withColumns({"seek": F.col("low" if ahead else "high"), name: F.lit(None).cast(levels[0].schema["nodes"].dataType.elementType), "depth": F.lit(-1)})
+    for k in range(len(levels)):
+        size = FAN**k
+        open_ = (F.col("depth") < 0) & F.col("seek").between(F.floor(F.col("low") / size), F.floor(F.col("high") / size))
+        state = look(state, k, F.when(open_, F.floor(F.col("seek") / FAN)), F.col("seek"))
+        group = F.floor(F.col("seek") / FAN)
+        hit = F.col("hit").isNotNull()
+        state = state.withColumns({name: F.coalesce("hit", name), "depth": F.when(hit, F.lit(k)).otherwise(F.col("depth")), "seek": group + (1 if ahead else -1)}).drop("hit")
+    for k in range(len(levels) - 1, 0, -1):
+        here = F.col("depth") == k
+        state = look(state, k - 1, F.when(here, F.col(name)["position"]), None)
+        state = state.withColumns({name: F.when(here, F.col("hit")).otherwise(F.col(name)), "depth": F.when(here, F.when(F.col("hit").isNotNull(), F.lit(k - 1)).otherwise(F.lit(-1))).otherwise(F.col("depth"))}).drop("hit")
+    return state.drop("seek", "depth")
+
+
+def share_of_single(many: DataFrame, one: DataFrame, by: Sequence[str], limit: str = M.CONNECTION_SHARE_ALERT) -> DataFrame:
     """The intervals in which a series is above a share of the single series valid at the same time.
 
-    Both sides hold for ``lookback`` seconds at most, so an interval lies in two blocks of that
-    length at most and the sides meet by block.
+    Of each interval of ``many`` the part up to its first break and the part from its last
+    break on are given: what lies between two breaks touches no other interval, and is
+    shorter than the interval, so than the lookback. So there are two rows per interval at
+    most, however many values of ``one`` it spans.
     """
-    block = lookback * T.MICROS
-
-    def blocks(intervals: DataFrame) -> DataFrame:
-        ends = [F.floor(F.col("start") / block), F.floor((F.col("stop") - 1) / block)]
-        return intervals.withColumn("block", F.explode(F.sequence(*ends)))
-
-    whole = one.select(F.col("start").alias("whole_start"), F.col("stop").alias("whole_stop"), F.col("value").alias("whole"))
-    whole = blocks(whole.withColumnsRenamed({"whole_start": "start", "whole_stop": "stop"})).withColumnsRenamed({"start": "whole_start", "stop": "whole_stop"})
-    met = blocks(many).join(whole, "block").withColumns(
-        {
-            "start": F.greatest("start", "whole_start", F.col("block") * block),
-            "stop": F.least("stop", "whole_stop", (F.col("block") + 1) * block),
-        }
-    )
-    above = F.col("value") > F.lit(limit).cast("decimal(4,2)") * F.col("whole")
-    return met.where((F.col("start") < F.col("stop")) & above & (F.col("whole") > 0)).select(*by, "start", "stop")
+    pieces = _limits(one, by)
+    levels = _levels(pieces)
+    asked = many.select(*by, F.col("start").alias("at"), "start", "stop", "value")
+    asked = T.as_of(asked, pieces, [], "at", ["position"], "lower").withColumn("at", F.col("stop") - 1)
+    asked = T.as_of(asked, pieces, [], "at", ["position"], "upper")
+    asked = materialize(asked.select(*by, "start", "stop", "value", F.col("lower.position").alias("low"), F.col("upper.position").alias("high")), "asked")
+    found = _nearest_break(_nearest_break(asked, levels, True, limit, "first"), levels, False, limit, "last")
+    whole = F.array(F.struct("start", "stop"))
+    ahead = F.struct("start", F.col("first.at").alias("stop"))
+    behind = F.struct(F.col("last.until").alias("start"), "stop")
+    parts = F.when(F.col("first").isNull(), whole).otherwise(F.array(ahead, behind))
+    return found.select(*by, F.inline(parts)).where("start < stop")
 
 
 def alert_rules(samples: DataFrame, series: Sequence[str], as_of: datetime, since: datetime | None = None, stage: str = "etapa") -> DataFrame:
@@ -207,8 +283,7 @@ def alert_rules(samples: DataFrame, series: Sequence[str], as_of: datetime, sinc
     alert = F.element_at(F.create_map(*[F.lit(x) for pair in VALUE_ALERTS.items() for x in pair]), metric)
     by_value = valid.where(bad).select(alert.alias("alert"), *by, start.alias("start"), "stop").where("start < stop")
 
-    one = valid.where(metric == M_MAX_CONNECTIONS).groupBy("start", "stop").agg(F.max("value").alias("value"))
-    crowded = share_of_single(valid.where(metric == M_CONNECTIONS), one, by)
+    crowded = share_of_single(valid.where(metric == M_CONNECTIONS), valid.where(metric == M_MAX_CONNECTIONS), by)
 
     window = F.when(metric == M_FAILURES, M.HOUR).otherwise(LOOKBACK_SECONDS * T.MICROS)
     grown = F.when(metric == M_FAILURES, F.col("increase") > M.FAILURES_PER_HOUR_ALERT).otherwise(F.col("growth") == 0)

@@ -48,7 +48,7 @@ def opens_field(line: str, delimiter: str) -> Column:
     value = F.col(line)
     starts = F.startswith(value, F.lit('"')) | F.contains(value, F.lit(f'{delimiter}"'))
     sign = re.escape(delimiter)
-    others = F.regexp_replace(value, f'(?:^|{sign})"[^"]*+"(?={sign}|\\z)', "")
+    others = F.regexp_replace(value, f'"(?<![^{sign}]")[^"]*+"(?![^{sign}])', "")
     return starts & F.contains(others, F.lit('"')) & _inside_after(value, delimiter, False)
 
 

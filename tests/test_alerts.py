@@ -90,6 +90,40 @@ def test_connections_against_their_limit(spark):
     assert fired(spark, BEATS + many + one, 20_000) == {("AlmacenSinConexionesDisponibles", "x"): [(10, 310, 610, False)]}
 
 
+@pytest.mark.parametrize("fan", [2, 256])
+def test_share_of_single_by_brute_force(spark, monkeypatch, fan):
+    """The first and last break of each interval, where the other side has gaps, zeros and a second series."""
+    monkeypatch.setattr(A, "FAN", fan, raising=False)
+    rng = random.Random(5)
+    many, one = [], []
+    for label in "xyz":
+        at = 0
+        while at < 400:
+            stop = at + rng.randint(1, 60)
+            many.append((label, at, stop, Decimal(rng.choice([40, 70, 85, 200]))))
+            at = stop + rng.choice([0, 0, 9])
+    for label, first in (("", 20), ("b", 200)):
+        at = first
+        while at < 390:
+            stop = at + rng.randint(1, 4)
+            one.append((label, at, stop, Decimal(rng.choice([0, 100, 100, 100, 90]) if label == "" else 120)))
+            at = stop + rng.choice([0] * 8 + [3])
+    schema = "labels string, start long, stop long, value decimal(28,4)"
+    found = A.share_of_single(spark.createDataFrame(many, schema), spark.createDataFrame(one, schema), ["labels"])
+    expected = []
+    same = {}
+    for _, a, z, w in one:
+        same[a, z] = max(w, same.get((a, z), w))
+    for label, start, stop, v in many:
+        met = [any(a <= t < z and w > 0 and v > Decimal("0.8") * w for (a, z), w in same.items()) for t in range(start, stop)]
+        if all(met):
+            expected.append((label, start, stop))
+            continue
+        first, last = met.index(False), len(met) - met[::-1].index(False)
+        expected += [(label, start, start + first)] * (first > 0) + [(label, start + last, stop)] * (start + last < stop)
+    assert sorted((r.labels, r.start, r.stop) for r in found.collect()) == sorted(expected)
+
+
 def test_volume_of_the_watched_stage(spark):
     day = 86_400
     volumes = [100, 100, 100, 40, 100, 40, 40, 40, 40, 40, 40]
