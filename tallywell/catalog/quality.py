@@ -11,7 +11,7 @@ from tallywell.operators import quality as Q
 from tallywell.operators.dedup import flag_duplicates
 from tallywell.operators.revenue import add_line_revenue, business_kpis, revenue_by_product_date
 from tallywell.schema import DUPLICATE_KEYS
-from tallywell.session import materialize
+from tallywell.session import deal, materialize
 from tallywell.sources import star
 from tallywell.sources.typing import coerce_types
 
@@ -117,7 +117,10 @@ def reason_counts(spark: SparkSession, folder: str) -> DataFrame:
         count(*) FILTER (WHERE revenue < 0) AS negative_revenue, count(*) FILTER (WHERE revenue IS NULL) AS null_revenue
     FROM (SELECT sum(line_revenue) AS revenue FROM lines GROUP BY sale_date, product_id)""", "lines"))
 def verify_aggregate(spark: SparkSession, folder: str) -> DataFrame:
-    lines = add_line_revenue(star.sales_lines(spark, folder, ("sale_date", "product_id", "quantity", "unit_price")))
+    """Dates and products hardly repeat, so tasks combine little and hold a group per line:
+    the lines are dealt to small shares first, those of one key to several."""
+    columns = ("sale_date", "product_id", "quantity", "unit_price")
+    lines = add_line_revenue(deal(star.sales_lines(spark, folder, columns), *columns))
     return Q.aggregate_invariants(revenue_by_product_date(lines, ordered=False))
 
 

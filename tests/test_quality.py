@@ -126,3 +126,15 @@ def test_verify_aggregate(spark):
 
 def test_defects_are_the_known_ones():
     assert len(DEFECTS) == 5
+def test_keys_of_the_aggregate_are_counted_in_shares_of_their_own(spark):
+    day = date(2020, 1, 1)
+    rows = [(day, "a", 1), (day, "a", -2), (None, "a", None), (None, "a", 4), (day, None, 5)]
+    df = spark.createDataFrame(rows, "sale_date date, product_id string, line_revenue int")
+    summed = df.groupBy("sale_date", "product_id").agg(F.sum("line_revenue").alias("total_revenue"))
+    found = Q.aggregate_invariants(summed)
+    assert tuple(found.first()) == (3, 0, 1, 0)
+    assert tuple(Q.aggregate_invariants(df.withColumnRenamed("line_revenue", "total_revenue")).first()) == (5, 2, 1, 1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 2
+
+
