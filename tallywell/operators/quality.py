@@ -20,14 +20,19 @@ class QualityRule:
     """A rule names the rows it rejects.
 
     ``rejects`` builds the predicate; ``prepare`` may add a helper column first,
-    which is dropped once the reasons are known.
+    which is dropped once the reasons are known. ``narrows`` says that the rule looks at
+    the duplicate keys only, so that copies share its verdict, and rejects enough for its
+    price; ``undecided`` that ``prepare`` also takes a predicate of the rows that no earlier
+    rule of that kind rejects.
     """
 
     name: str
     description: str
     rejects: Callable[[DataFrame], Column]
-    prepare: Callable[[DataFrame], DataFrame] | None = None
+    prepare: Callable[..., DataFrame] | None = None
     helper: str | None = None
+    narrows: bool = False
+    undecided: bool = False
 
 
 @dataclass(frozen=True)
@@ -86,13 +91,13 @@ def duplicate_keys(df: DataFrame) -> list[str]:
 def build_rules(limits: Limits = Limits(), order_by: str | None = None) -> list[QualityRule]:
     """DQ7: the catalogue in the order that decides the reason of a row."""
 
-    def mark_copies(df: DataFrame) -> DataFrame:
+    def mark_copies(df: DataFrame, undecided: Column) -> DataFrame:
         keys = duplicate_keys(df)
         if not keys:
             return df.withColumn("is_duplicate", F.lit(False))
         if order_by is None:
             raise QualityError("the duplicate rule needs a column that orders the rows")
-        return flag_duplicates(df, keys, order_by)
+        return flag_duplicates(df, keys, order_by, among=undecided)
 
     return [
         QualityRule(S.RULE_NULL_KEYS, "no key column may be empty", null_keys),
@@ -101,11 +106,13 @@ def build_rules(limits: Limits = Limits(), order_by: str | None = None) -> list[
             S.RULE_DATE,
             "the date must be readable and not in the future",
             lambda df: date_out_of_range(df, limits.as_of),
+            narrows=True,
         ),
         QualityRule(
             S.RULE_QUANTITY,
             f"the quantity must be at least {limits.min_quantity}",
             lambda df: quantity_too_low(df, limits.min_quantity),
+            narrows=True,
         ),
         QualityRule(
             S.RULE_PRICE,
@@ -118,23 +125,32 @@ def build_rules(limits: Limits = Limits(), order_by: str | None = None) -> list[
             lambda df: F.col("is_duplicate"),
             prepare=mark_copies,
             helper="is_duplicate",
+            undecided=True,
         ),
     ]
 
 
+def _fails(rule: QualityRule, df: DataFrame) -> Column:
+    return F.coalesce(rule.rejects(df), F.lit(True))
+
+
 def apply_rules(df: DataFrame, rules: Sequence[QualityRule]) -> DataFrame:
     """DQ7: add ``reject_reason``, the first failing rule or null.
 
     A predicate that is null counts as failing. All row-local rules are one
-    expression of one projection.
+    expression of one projection. Copies are counted among the rows only whose
+    reason still depends on it.
     """
     prepared = df
-    for rule in rules:
-        if rule.prepare is not None:
+    for place, rule in enumerate(rules):
+        if rule.prepare is None:
+            continue
+        if rule.undecided:
+            earlier = [~_fails(r, prepared) for r in rules[:place] if r.narrows]
+            prepared = rule.prepare(prepared, reduce(lambda a, b: a & b, earlier, F.lit(True)))
+        else:
             prepared = rule.prepare(prepared)
-    reasons = [
-        F.when(F.coalesce(rule.rejects(prepared), F.lit(True)), F.lit(rule.name)) for rule in rules
-    ]
+    reasons = [F.when(_fails(rule, prepared), F.lit(rule.name)) for rule in rules]
     reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
     helpers = [rule.helper for rule in rules if rule.helper]
     return prepared.withColumn("reject_reason", reason).drop(*helpers)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.errors import PersistError
+from tallywell.session import materialize, new_path, remove_path
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
@@ -56,10 +57,18 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def write_quarantine(rejected: DataFrame, folder: str, run_id: str) -> str | None:
-    """SK4: rejected rows as CSV of their run, nothing when there are none."""
-    if rejected.isEmpty():
-        return None
-    return write_csv(rejected, f"{folder}/run_id={run_id}")
+    """SK4: rejected rows as CSV of their run, nothing when there are none.
+
+    The rows are written to the shared folder first, so that looking whether there are any
+    does not classify all lines a second time.
+    """
+    spark = rejected.sparkSession
+    step = new_path(spark, "quarantine_step")
+    try:
+        rows = materialize(rejected, "rejected", step)
+        return None if rows.isEmpty() else write_csv(rows, f"{folder}/run_id={run_id}")
+    finally:
+        remove_path(spark, step)
 
 
 def write_report(spark: SparkSession, report: dict, folder: str, run_id: str) -> str:

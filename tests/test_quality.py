@@ -98,6 +98,24 @@ def test_keys_of_equal_hash_stay_apart(spark):
     assert sorted(r.n for r in flagged.where("is_duplicate").collect()) == [1, 2, 3, 4]
 
 
+def test_copies_of_rejected_rows_are_not_counted(spark):
+    rows = [VALID[0], VALID[0], DEFECTS[0], DEFECTS[0]]
+    df = lines(spark, rows).withColumn("ordinal", F.monotonically_increasing_id())
+    classified, rules = classify(df)
+    reasons = [r.reject_reason for r in classified.orderBy("ordinal").collect()]
+    assert reasons == [None, S.RULE_DUPLICATE, S.RULE_QUANTITY, S.RULE_QUANTITY]
+    # Without the rules before it, the duplicate rule marks copies of all rows.
+    alone = Q.apply_rules(df, rules[-1:]).orderBy("ordinal").collect()
+    assert [r.reject_reason for r in alone] == [None, S.RULE_DUPLICATE] * 2
+    # A rule that copies may answer differently does not hide a first copy.
+    other = Q.QualityRule("other", "", lambda d: F.col("ordinal") == F.lit(df.agg(F.min("ordinal")).first()[0]))
+    mixed = Q.apply_rules(df, [other, rules[-1]]).orderBy("ordinal").collect()
+    assert [r.reject_reason for r in mixed] == ["other", S.RULE_DUPLICATE, None, S.RULE_DUPLICATE]
+    plan = classified._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    grouped = next(i for i, line in enumerate(plan) if "Aggregate [" in line)
+    assert any("Filter" in line and "quantity" in line for line in plan[grouped:])
+
+
 def test_the_plan_is_the_same_at_every_size(spark):
     def nodes(rows):
         df = spark.createDataFrame([(n % 7, 1, n) for n in range(rows)], "a int, b int, n int")
@@ -124,8 +142,6 @@ def test_verify_aggregate(spark):
         Q.verify_aggregate(good.withColumn("total_revenue", F.lit(None).cast("decimal(28,2)")))
 
 
-def test_defects_are_the_known_ones():
-    assert len(DEFECTS) == 5
 def test_keys_of_the_aggregate_are_counted_in_shares_of_their_own(spark):
     day = date(2020, 1, 1)
     rows = [(day, "a", 1), (day, "a", -2), (None, "a", None), (None, "a", 4), (day, None, 5)]
@@ -138,3 +154,5 @@ def test_keys_of_the_aggregate_are_counted_in_shares_of_their_own(spark):
     assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 2
 
 
+def test_defects_are_the_known_ones():
+    assert len(DEFECTS) == 5

@@ -57,6 +57,21 @@ def test_quarantine(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "q")).count() == 2
 
 
+def test_rejected_rows_are_made_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def row(k):
+        made.add(1)
+        return (k,)
+
+    bad = spark.createDataFrame(spark.sparkContext.parallelize(range(40), 4).map(row), "k int")
+    S.write_quarantine(bad, str(tmp_path / "q"), "r1")
+    assert made.value == 40
+    assert spark.read.option("header", True).csv(str(tmp_path / "q")).count() == 40
+    S.write_quarantine(bad.limit(0), str(tmp_path / "q"), "r1")
+    assert spark.read.option("header", True).csv(str(tmp_path / "q")).count() == 40
+
+
 def test_missing_result(spark, tmp_path):
     with pytest.raises(PersistError):
         S.read_result(spark, str(tmp_path / "none"))
