@@ -4,15 +4,15 @@ Vectors are dealt to shards by hash; every shard becomes a tree by median splits
 with the tight bounding box of each node. A query walks a tree best-first: the bound
 of a node is the largest inner product a point of its box can have, and a node whose
 bound is below the k-th score found so far is left. Blocks of queries search one shard
-first, and its k-th scores go along to all other shards.
+first, and its k-th scores go along to all other shards: cells of a few shards and a
+bounded number of blocks are shuffled together, so that nothing goes through the driver.
 """
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywell.llm.common import materialize
@@ -22,6 +22,13 @@ LEAF_ROWS = 64
 SHARD_ROWS = 4096
 BLOCK_QUERIES = 256
 
+#: Query blocks that meet the shards of a cell, and the shards of one where there are many.
+CELL_BLOCKS = 64
+CELL_SHARDS = 16
+
+#: Cells that a group of blocks is sent to; from there on cells have more shards.
+LEAST_CELLS = 256
+
 #: Stands for "no k-th score yet".
 NO_BOUND = np.iinfo(np.int64).min
 
@@ -95,12 +102,25 @@ def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
     return out
 
 
+def _packed(matrix: np.ndarray) -> bytes:
+    """The numbers of a matrix in the fewest bytes each that hold them all."""
+    low, high = (int(matrix.min()), int(matrix.max())) if matrix.size else (0, 0)
+    kind = next(t for t in (np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return matrix.astype(kind).tobytes()
+
+
+def _unpacked(packed: bytes, rows: int, width: int) -> np.ndarray:
+    size = len(packed) // max(1, rows * width) or 8
+    return np.frombuffer(packed, f"i{size}").reshape(rows, width).astype(np.int64)
+
+
 def nearest(points: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k points with the largest inner product, ties to the smaller id.
 
     A query's own id is no candidate. Both frames have ``vec_id`` and ``point``; vectors of
     another length are compared as if they ended in zeros. Shards and query blocks have
-    a bounded number of rows, so a task holds one of each; the sizes follow the data.
+    a bounded number of rows, and a task holds a cell of a bounded number of both; shards are
+    sent once for each 64 blocks, a block to some 500 cells until cells have 16 shards.
     """
     points, queries = materialize(points, "points"), materialize(queries, "queries")
     size = points.agg(F.count("*").alias("n"), F.max(F.size("point")).alias("width")).first()
@@ -110,7 +130,7 @@ def nearest(points: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
     def pack(table: pa.Table) -> pa.Table:
         ids, block = table.column("vec_id").to_numpy(), _matrix(table.column("point").combine_chunks(), width)
-        return pa.table([pa.array([x], t) for x, t in zip((table.column(0)[0].as_py(), len(ids), ids.tobytes(), block.tobytes()), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["part", "n", "ids", "packed"])
+        return pa.table([pa.array([x], t) for x, t in zip((table.column(0)[0].as_py(), len(ids), ids.tobytes(), _packed(block)), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["part", "n", "ids", "packed"])
 
     def packed(rows: DataFrame, parts: int) -> DataFrame:
         dealt = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(parts)).alias("part"), "vec_id", "point")
@@ -121,29 +141,33 @@ def nearest(points: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     block = materialize(packed(queries, blocks).toDF("block", "m", "query_ids", "queries"), "blocks")
     home = F.pmod("block", F.lit(shards))
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: tuple[int, Tree | None] = (-1, None)
-        for batch in batches:
-            for row in batch.to_pylist():
-                if known[0] != row["shard"]:
-                    matrix = np.frombuffer(row["points"], np.int64).reshape(row["n"], width)
-                    known = (row["shard"], Tree(np.frombuffer(row["ids"], np.int64), matrix))
-                tree = known[1]
-                asked = np.frombuffer(row["queries"], np.int64).reshape(row["m"], width)
-                ids = np.frombuffer(row["query_ids"], np.int64)
-                reach = np.frombuffer(row["reach"], np.int64) if row["reach"] else np.full(len(ids), NO_BOUND)
-                bounds, out = tree.bounds(asked), []
+    def search(trees: pa.Table, asked: pa.Table) -> pa.Table:
+        out: list[tuple[int, int, int, int]] = []
+        waiting = [
+            (row, np.frombuffer(row["query_ids"], np.int64), _unpacked(row["queries"], row["m"], width), np.frombuffer(row["reach"], np.int64).copy() if row["reach"] else np.full(row["m"], NO_BOUND))
+            for row in asked.to_pylist()
+        ]
+        for i in range(trees.num_rows if waiting else 0):
+            row = trees.slice(i, 1).to_pylist()[0]
+            tree = Tree(np.frombuffer(row["ids"], np.int64), _unpacked(row["points"], row["n"], width))
+            for block, ids, queries, reach in waiting:
+                if row["shard"] == block["done"]:
+                    continue
+                bounds = tree.bounds(queries)
                 for q in range(len(ids)):
-                    found, _ = tree.search(int(ids[q]), asked[q], bounds[q], k, int(reach[q]))
-                    out += [(row["block"], int(ids[q]), -i, s) for s, i in found]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["block", "query_id", "vec_id", "score"])
+                    found, _ = tree.search(int(ids[q]), queries[q], bounds[q], k, int(reach[q]))
+                    if len(found) == k:
+                        reach[q] = max(int(reach[q]), found[0][0])
+                    out += [(block["block"], int(ids[q]), -i, s) for s, i in found]
+        columns = zip(*out) if out else [()] * 4
+        return pa.table([pa.array(c, pa.int64()) for c in columns], ["block", "query_id", "vec_id", "score"])
+
+    def searched(trees: DataFrame, asked: DataFrame) -> DataFrame:
+        schema = "block long, query_id long, vec_id long, score long"
+        return trees.groupBy("cell").cogroup(asked.groupBy("cell")).applyInArrow(search, schema)
 
-    columns = ("shard", "n", "ids", "points", "block", "m", "query_ids", "queries", "reach")
-    schema = "block long, query_id long, vec_id long, score long"
-    none = F.lit(None).cast("binary")
-    first = block.withColumn("shard", home).withColumn("reach", none).join(shard, "shard").select(*columns)
-    first = materialize(first.mapInArrow(search, schema), "first")
+    at_home = block.select(home.alias("cell"), "*", F.lit(None).cast("binary").alias("reach"), F.lit(None).cast("long").alias("done"))
+    first = materialize(searched(shard.select(F.col("shard").alias("cell"), "*"), at_home), "first")
 
     def reach_of(asked: pa.Table, found: pa.Table) -> pa.Table:
         scores: dict[int, list[int]] = {}
@@ -155,8 +179,19 @@ def nearest(points: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         return asked.append_column("reach", pa.array([reach.tobytes()], pa.binary()))
 
     told = block.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(reach_of, "block long, m long, query_ids binary, queries binary, reach binary")
-    others = materialize(told, "reach").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))).where(F.col("shard") != home)
-    rest = others.join(shard, "shard").select(*columns).mapInArrow(search, schema)
+    told = materialize(told, "reach")
+    # A cell is some shards and a group of blocks; a block is sent to every cell of its group.
+    together = min(CELL_SHARDS, -(-shards // LEAST_CELLS))
+    columns, groups = -(-shards // together), -(-blocks // CELL_BLOCKS)
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    cell = F.floor(F.col("shard") / together) * groups + F.col("group")
+    trees = shard.withColumn("group", every(groups)).select(cell.alias("cell"), *shard.columns)
+    cell = F.col("column") * groups + F.pmod("block", F.lit(groups))
+    asked = told.withColumn("column", every(columns)).select(cell.alias("cell"), *told.columns, home.alias("done"))
+    rest = searched(trees, asked)
 
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = first.unionByName(rest).withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)

@@ -194,6 +194,27 @@ def test_top_k_with_ties_nulls_and_copies(spark):
     assert topk.search_embeddings(frame.limit(0)).count() == 0
 
 
+def test_top_k_sends_no_blocks_through_the_driver(spark, monkeypatch):
+    """Many shards and blocks, in cells of several of both: the plan has no broadcast, whose rows grew with their product."""
+    make_importable(spark)
+    for name, value in (("SHARD_ROWS", 40), ("BLOCK_QUERIES", 4), ("CELL_BLOCKS", 3), ("LEAST_CELLS", 5)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(11)
+    points = rng.integers(-3, 4, size=(600, 5)).astype(float)
+    points[1] = 3e9
+    rows = [(i, p.tolist()) for i, p in enumerate(points)] + [(7, points[7].tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    result = topk.search_embeddings(frame, query_step=20)
+    assert "Broadcast" not in result._jdf.queryExecution().executedPlan().toString()
+    whole = [(i, np.array(p, float) * 1024) for i, p in rows]
+    found = defaultdict(list)
+    for r in result.orderBy("query_id", "rank").collect():
+        found[r.query_id].append((-r.score, r.vec_id))
+    for q in range(0, 600, 20):
+        assert found[q] == sorted((-int(p.astype(int) @ (points[q] * 1024).astype(int)), i) for i, p in whole if i != q)[:10]
+    assert len(found) == 30
+
+
 def test_tree_search_looks_at_few_points():
     rng = np.random.default_rng(8)
     points = rng.normal(scale=1000, size=(4096, 3)).astype(np.int64)
