@@ -24,7 +24,7 @@ def _occurrences(text: Column, sign: str) -> Column:
     return F.when(F.contains(text, F.lit(sign)), times).otherwise(F.lit(0))
 
 
-def _file_path(file: str) -> Column:
+def file_path(file: str) -> Column:
     """The path of a file that the scan names as a URI."""
     return F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
 
@@ -36,8 +36,8 @@ def _placed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``path, split, row, value`` of every line; within a split, rows count up."""
-    return _placed_lines(spark, path).select(_file_path("file").alias("path"), "split", "row", "value")
+    """``file, split, value`` of every line, in order within a split; ``file`` is the URI of the scan."""
+    return _placed_lines(spark, path).drop("row")
 
 
 def scan_headers(spark: SparkSession, path: str | list[str], delimiter: str | None = None) -> DataFrame:
@@ -75,7 +75,7 @@ def scan_headers(spark: SparkSession, path: str | list[str], delimiter: str | No
     ]
     best = scored.select("file", "first.split", "first.row", F.array_max(F.array(*ranked)).alias("best"))
     headers = placed.join(best, ["file", "split", "row"])
-    return headers.select(_file_path("file").alias("path"), "best.delimiter", F.col("value").alias("header"), "best.breaks")
+    return headers.select(file_path("file").alias("path"), "best.delimiter", F.col("value").alias("header"), "best.breaks")
 
 
 def infer_delimiter(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from tallywell import schema as S
 from tallywell.errors import IngestError
 from tallywell.session import materialize
-from tallywell.sources.delimiters import scan_headers, separators, text_lines
-from tallywell.sources.records import records
+from tallywell.sources.delimiters import file_path, scan_headers, separators, text_lines
+from tallywell.sources.records import records, splits_of
 from tallywell.sources.typing import coerce_types, rename_columns, require_columns
 
 # Name of the column with the text of a line whose number of fields is not the header's.
@@ -70,15 +70,16 @@ def read_csv_raw(
 
 def _parsed_records(spark: SparkSession, paths: str | list[str], delimiter: str, schema: T.StructType, options: dict) -> DataFrame:
     """The records of files whose quoted fields have line breaks, without headers and blank lines."""
-    lines = materialize(text_lines(spark, paths), "lines")
-    found = records(lines, delimiter)
-    place = F.struct("split", "row")
-    filled = found.where(F.trim("value") != "").select("path", place.alias("place"), "value")
-    headers = lines.where(F.trim("value") != "").groupBy("path").agg(F.min(place).alias("header"))
-    rows = filled.join(headers, "path").where("place <> header")
+    lines = text_lines(spark, paths)
+    splits = splits_of(lines, delimiter)
+    found = records(lines, splits, delimiter)
+    header = F.min(F.struct("split", F.col("filled").alias("row"))).alias("header")
+    headers = splits.where("filled IS NOT NULL").groupBy("key", file_path("file").alias("path")).agg(header)
+    headers = materialize(headers, "header_places")
+    rows = found.where(F.trim("value") != "").join(headers, "key").where("header <> struct(split, row)")
     text = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items() if k not in ("header", "columnPruning")}
     ddl = ", ".join("`{}` string".format(name.replace("`", "``")) for name in schema.fieldNames())
-    parsed = rows.select(F.from_csv("value", ddl, text).alias("fields"), F.struct(F.col("path").alias("file"), "place.split", "place.row").alias("ordinal"))
+    parsed = rows.select(F.from_csv("value", ddl, text).alias("fields"), F.struct(F.col("path").alias("file"), "split", "row").alias("ordinal"))
     return parsed.select("fields.*", "ordinal")
 
 

@@ -1,4 +1,5 @@
 import itertools
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -10,7 +11,7 @@ from tallywell.catalog import sources as S
 from tallywell.catalog.sources import write_text
 from tallywell.errors import IngestError
 from tallywell.session import materialize
-from tallywell.sources import delimiters, files
+from tallywell.sources import delimiters, files, records
 from tallywell.sources.delimiters import infer_delimiter
 from tallywell.sources.records import opens_field
 from tallywell.sources.typing import coerce_types, column_names, normalize_name, require_columns
@@ -264,6 +265,54 @@ def test_records_over_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("most", [3, 10_000])
+def test_records_equal_a_walk_over_all_lines(spark, tmp_path, monkeypatch, capsys, most):
+    """Random lines in splits of 40 bytes and batches of 3 lines; no step before the last shuffles the lines."""
+    plans = {}
+
+    def kept(df, name, folder=None):
+        plans[name] = plan_of(df, capsys)
+        return materialize(df, name, folder)
+
+    monkeypatch.setattr(records, "materialize", kept)
+    draw, expected = random.Random(most), []
+    for k in range(5):
+        lines = [draw.choice(['"x', 'y"', "z", "", 'a,"b', '"c",d', 'e"f', '",g', '"",h', '"']) for _ in range(draw.choice([0, 1, 25, 60]))]
+        put(tmp_path, f"in/{k}.csv", "".join(line + "\n" for line in lines))
+        inside, open_at = False, 0
+        spans = {}
+        for at, line in enumerate(lines):
+            was = inside
+            for field in line.split(","):
+                if inside or field.startswith('"'):
+                    inside = '"' not in (field if inside else field[1:]).replace('""', "")
+            open_at = at if not was and inside else open_at
+            if was and not inside and at - open_at < most:
+                spans[open_at] = at + 1
+        at, rows = 0, []
+        while at < len(lines):
+            rows.append("\n".join(lines[at : spans.get(at, at + 1)]))
+            at = spans.get(at, at + 1)
+        expected += [(f"{k}.csv", rows)] if rows else []
+    settings = {"spark.sql.files.maxPartitionBytes": "40", "spark.sql.execution.arrow.maxRecordsPerBatch": "3"}
+    before = {c: spark.conf.get(c) for c in settings}
+    for c, v in settings.items():
+        spark.conf.set(c, v)
+    try:
+        lines = delimiters.text_lines(spark, str(tmp_path / "in"))
+        splits = records.splits_of(lines, ",")
+        found = records.records(lines, splits, ",", most).join(splits.select("key", "file").distinct(), "key").orderBy("file", "split", "row").collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    texts = {}
+    for r in found:
+        texts.setdefault(r.file.rsplit("/", 1)[1], []).append(r.value)
+    assert sorted(texts.items()) == sorted(expected)
+    assert "Exchange hashpartitioning" not in plans["splits"] and plans["pieces"].count("Scan text") == 1
+    assert "value" not in "".join(x for x in plans["pieces"].splitlines() if "Exchange hashpartitioning" in x)
+
+
 def test_a_quote_that_never_ends_spoils_its_own_line_only(spark, tmp_path):
     body = ['1,22086,"open,7,12/1/2010 8:26,4.00,17850,France', "2,22087,B,6,12/1/2010 8:26,4.00,17850,France", "3,22087,C,6,12/1/2010 8:26,4.00,17850,France"]
     found = read_back(spark, put(tmp_path, "a.csv", "\n".join([HEADER, *body])))
