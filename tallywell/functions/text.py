@@ -33,8 +33,14 @@ _OFFSET = r":[0-9.]+ *(?:Z|[+-][0-9]{2}:?[0-9]{2})$"
 
 
 def strip(col: Column) -> Column:
-    """Remove blanks of any kind from both ends."""
-    return F.btrim(col, F.lit(BLANKS))
+    """Remove blanks of any kind from both ends.
+
+    Spark looks at every character to trim the right end, so it only does where one of the
+    last three bytes may be of a blank; no blank has more.
+    """
+    left = F.ltrim(col.cast("string"), F.lit(BLANKS))
+    end = F.substring(left.cast("binary"), -3, 3).cast("string")
+    return F.when(F.rtrim(end, F.lit(BLANKS)) != end, F.rtrim(left, F.lit(BLANKS))).otherwise(left)
 
 
 def clean_code(col: Column) -> Column:

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.session import materialize
-from tallywell.sources.records import opens_field
+from tallywell.sources.records import opens_field, quoted_parts
 
 # The delimiters tried, in order of preference.
 CANDIDATES = (",", ";", "\t", "|")
@@ -14,9 +14,17 @@ CANDIDATES = (",", ";", "\t", "|")
 QUOTED = r'"[^"]*+"'
 
 
-def separators(line: Column | str, delimiter: str) -> Column:
+def unquoted(line: str, parts: Column | None = None) -> Column:
+    """A line without its quoted fields; only lines of more than two quotes are searched for them."""
+    value = F.col(line)
+    parts = quoted_parts(value) if parts is None else parts
+    outside = F.concat(F.get(parts, F.lit(0)), F.get(parts, F.lit(2)))
+    return F.when(F.size(parts) == 1, value).when(F.size(parts) == 3, outside).otherwise(F.regexp_replace(value, QUOTED, ""))
+
+
+def separators(line: str, delimiter: str) -> Column:
     """How often a delimiter stands in a line outside quotes."""
-    return _occurrences(F.regexp_replace(line, QUOTED, ""), delimiter)
+    return _occurrences(unquoted(line), delimiter)
 
 
 def _occurrences(text: Column, sign: str) -> Column:
@@ -53,14 +61,14 @@ def scan_headers(spark: SparkSession, path: str | list[str], delimiter: str | No
     headers is picked by its place in a second look at the lines, which moves none of them.
     """
     candidates = CANDIDATES if delimiter is None else (delimiter,)
-    placed = _placed_lines(spark, path)
     value = F.col("value")
-    unquoted = F.when(F.contains(value, F.lit('"')), F.regexp_replace(value, QUOTED, "")).otherwise(value)
-    lines = placed.where(F.trim("value") != "").withColumn("unquoted", unquoted)
+    placed = _placed_lines(spark, path)
+    parts = F.col("parts")
+    lines = placed.where(F.trim("value") != "").withColumn("parts", quoted_parts(value)).withColumn("unquoted", unquoted("value", parts))
     names = [f"times_{i}" for i in range(len(candidates))]
     opens = [f"open_{i}" for i in range(len(candidates))]
     times = [_occurrences(F.col("unquoted"), c).alias(n) for n, c in zip(names, candidates)]
-    open_lines = [F.when(opens_field("value", c), 1).otherwise(0).alias(n) for n, c in zip(opens, candidates)]
+    open_lines = [F.when(opens_field("value", c, parts), 1).otherwise(0).alias(n) for n, c in zip(opens, candidates)]
     counted = lines.select("file", "split", "row", *times, *open_lines)
     alike = counted.groupBy("file", "split", *names).agg(F.count("*").alias("lines"), F.min("row").alias("row"), *[F.sum(n).alias(n) for n in opens])
     alike = materialize(alike, "alike")

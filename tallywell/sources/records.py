@@ -46,17 +46,30 @@ def _inside_after(line: Column, delimiter: str, inside: bool) -> Column:
     return F.aggregate(fields, F.lit(inside), step)
 
 
-def opens_field(line: str, delimiter: str) -> Column:
+def quoted_parts(line: Column) -> Column:
+    """The text between the quotes of a line: one part without quotes, three with two, at most four are told apart."""
+    return F.split(line, '"', 4)
+
+
+def opens_field(line: str, delimiter: str, parts: Column | None = None) -> Column:
     """Whether a line that begins outside of quotes ends inside; without such lines no record is longer than a line.
 
     No field opens without a quote at its start, and none is open where all quotes belong to
-    whole fields without a quote in them; only other lines are walked field by field.
+    whole fields without a quote in them; only other lines are walked field by field. Lines
+    of two quotes, the usual ones, are known by the text beside the quotes, however long it is;
+    ``parts`` are its ``quoted_parts``, for callers that have them in a column.
     """
-    value = F.col(line)
+    value, mark = F.col(line), F.lit(delimiter)
     starts = F.startswith(value, F.lit('"')) | F.contains(value, F.lit(f'{delimiter}"'))
     sign = re.escape(delimiter)
     others = F.regexp_replace(value, f'"(?<![^{sign}]")[^"]*+"(?![^{sign}])', "")
-    return starts & F.contains(others, F.lit('"')) & _inside_after(value, delimiter, False)
+    walked = starts & F.contains(others, F.lit('"')) & _inside_after(value, delimiter, False)
+    parts = quoted_parts(value) if parts is None else parts
+    first, middle, last = (F.get(parts, F.lit(k)) for k in range(3))
+    at_start = (first == "") | F.endswith(first, mark)
+    whole = at_start & ((last == "") | F.startswith(last, mark))
+    of_two = ~whole & (at_start | F.endswith(middle, mark)) & _inside_after(value, delimiter, False)
+    return F.when(F.size(parts) == 1, False).when(F.size(parts) == 3, of_two).otherwise(walked)
 
 
 def _with_states(lines: DataFrame, delimiter: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 from datetime import datetime
 from decimal import Decimal
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tallywell.catalog import sources as S
 from tallywell.catalog.sources import write_text
 from tallywell.errors import IngestError
+from tallywell.functions import text
 from tallywell.session import materialize
 from tallywell.sources import delimiters, files, records
 from tallywell.sources.delimiters import infer_delimiter
@@ -374,6 +376,14 @@ def test_open_quotes_by_brute_force(spark, sep):
     assert found == {t: inside_after(t) for t in texts}
 
 
+def test_quoted_text_is_left_out_of_lines_with_any_number_of_quotes(spark):
+    texts = ["".join(t) for n in range(8) for t in itertools.product('a",', repeat=n)] + ['x,"' + "long, " * 500 + '",y', '"' * 9]
+    df = spark.createDataFrame([(t,) for t in texts], "value string").repartition(8)
+    found = {r.value: (r.text, r.n) for r in df.select("value", delimiters.unquoted("value").alias("text"), delimiters.separators("value", ",").alias("n")).collect()}
+    plain = {t: re.sub('"[^"]*"', "", t) for t in texts}
+    assert found == {t: (plain[t], plain[t].count(",")) for t in texts}
+
+
 def test_no_task_writes_a_fixed_share_of_the_lines(spark, monkeypatch):
     """Text with line breaks is written by as many tasks as its rows have."""
     rows = [(*r, flag) for r, flag in zip(RAW, "ANRAN")]
@@ -407,3 +417,12 @@ def test_row_cap_reads_the_files_of_the_first_rows_only(spark, tmp_path):
     assert len(read) == 1 and len(files.first_files(spark, path, 50)) == len(set(spark.read.parquet(path).inputFiles()))
     assert len(files.read_sales(spark, path, "parquet", max_rows=1).inputFiles()) == 1
     assert files.read_sales(spark, read[0], "parquet", max_rows=1).count() == 1
+
+
+def test_strip_removes_blanks_of_any_kind_from_ends_of_any_length(spark):
+    signs = [*text.BLANKS[:4], "\xa0", " ", "　", "a", "é", "中", "\U0001f600", "\u0080", "‐"]
+    texts = ["".join(t) for n in range(4) for t in itertools.product(signs, repeat=n)]
+    texts += [side + "long, " * 500 + other for side in ("", "　 ", "é") for other in ("", " \xa0", " ", "\U0001f600", " x")]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "value string").repartition(8)
+    found = {r.value: r.text for r in df.select("value", text.strip(F.col("value")).alias("text")).collect()}
+    assert found == {t: t.strip(text.BLANKS) for t in texts} | {None: None}
